@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quellwerk.llm.common import table
@@ -37,12 +37,14 @@ _WESTERN = "äöüÄÖÜßé§"
 _CP1252_REST = "ŒœŠšŽžŸƒˆ˜‚†‡‰‹›™"
 _MAC_REST = "√∏∑π∫∂Ω≈∆◊˘˙˚˝˛ˇıﬁﬂ⁄∞≤≥≠ÅÊÁËÈÍÎÏÌÓÔÒÚÛÙ"
 #: Everything that a pair can leave behind: Latin letters and signs of the upper half, controls,
-#: half-width kana, private use, the replacement character, escape runs, four telling kanji.
+#: half-width kana, private use, the replacement character, escape runs.
 SUSPICIOUS = (
     "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\x9f\\u00a1-\\u00a6\\u00a8-\\u00ac\\u00ae\\u00af\\u00b1-\\u00b6\\u00b8-\\u00c3\\u00c5-\\u00d5\\u00d7-\\u00db\\u00dd\\u00de"
     "\\u00e0-\\u00e3\\u00e5-\\u00e8\\u00ea-\\u00f5\\u00f7-\\u00fb\\u00fd-\\u02ff\\u201a\\u2020\\u2021\\u2030\\u2039\\u203a\\u2122\\u2202\\u220f\\u2211\\u221a\\u221e\\u222b\\u2248\\u2260\\u2264\\u2265\\u25ca"
-    "\\ue000-\\uf8ff\\ufb01\\ufb02\\uff61-\\uff9f\\ufffd縺繧繝縲]|\\$[B@][!-~]{2}|\\([BJ]"
+    "\\ue000-\\uf8ff\\ufb01\\ufb02\\uff61-\\uff9f\\ufffd]|\\$[B@][!-~]{2}"
 )
+#: A wider class of few ranges, which almost every clean Japanese text fails at once.
+UNUSUAL = "[^\\n\\r\\t -~\\u3000-\\u30ff\\u4e00-\\u9fff\\uff01-\\uff60]"
 #: The same without an escape of the pattern language, for Python.
 _SUSPICIOUS_PY = re.compile(SUSPICIOUS)
 _ESCAPE_RUN = re.compile("\x1b?\\$[B@]([!-~]{2,}?)(?:\x1b?\\([BJ]|(?=[^!-~])|$)")
@@ -96,6 +98,11 @@ PAIRS = {
 STATES = ["clean", *PAIRS]
 
 
+def suspicious(text: Column) -> Column:
+    """Whether a text can have another path than the clean one; the wide class goes first, it is far cheaper."""
+    return (text.rlike(UNUSUAL) | text.contains("$B") | text.contains("$@")) & text.rlike(SUSPICIOUS)
+
+
 def train(clean: list[str]) -> dict:
     """Emission log probabilities by state and the kanji seen, from clean texts and their garbled forms."""
     known = sorted({c for t in clean for c in t if "㐀" <= c <= "鿿"})
@@ -266,11 +273,11 @@ def texts(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     return out.where("text is not null and text != ''")
 
 
-def fit(all_texts: DataFrame) -> dict:
+def fit(all_texts: DataFrame, names: tuple[str, ...] = ("jp_case_detail", "parsed_document", "http_response")) -> dict:
     """The model from ``TRAIN_ROWS`` clean texts a table, the first by hash: a top-k, not a shuffle."""
     sample = []
-    for name in ("jp_case_detail", "parsed_document", "http_response"):
-        clean = all_texts.where((F.col("table_name") == name) & ~F.col("text").rlike(SUSPICIOUS))
+    for name in names:
+        clean = all_texts.where((F.col("table_name") == name) & ~suspicious(F.col("text")))
         sample += [r.text for r in clean.select(F.substring("text", 1, 20_000).alias("text")).orderBy(F.xxhash64("text"), "text").limit(TRAIN_ROWS).collect()]
     return train(sample)
 
@@ -290,7 +297,20 @@ def detect(all_texts: DataFrame, model: dict) -> DataFrame:
                     rows.append((n, i, len(f), sum(y - x for x, y, *_ in f), sorted({k for _, _, k, _ in f}), repair(t, f)))
             yield pd.DataFrame(rows, columns=["table_name", "rec_id", "n_spans", "garbled_chars", "pairs", "restored"])
 
-    return all_texts.where(F.col("text").rlike(SUSPICIOUS)).select("table_name", "rec_id", "text", "raw").mapInPandas(run, RESULT)
+    return all_texts.where(suspicious(F.col("text"))).select("table_name", "rec_id", "text", "raw").mapInPandas(run, RESULT)
+
+
+def repaired(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """(rec_id, text) of a table with garbled spans restored where possible; other texts pass untouched in the JVM."""
+    t = texts(spark, sf_dir, name)
+    model = fit(t, (name,))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"rec_id": b.rec_id, "text": [repair(x, f) for x, f in zip(b.text, label(b.text.tolist(), model))]})
+
+    odd = suspicious(F.col("text"))
+    return t.where(~odd).select("rec_id", "text").unionByName(t.where(odd).select("rec_id", "text").mapInPandas(run, "rec_id long, text string"))
 
 
 TABLES = ("jp_case_detail", "parsed_document", "http_response")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quellwerk.llm import encoding
-from quellwerk.llm.common import table
+from quellwerk.llm.common import cut, table
 
 _INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​-‏‪-‮⁠-⁤⁦-⁯︀-️﻿"
 _SPACES = "   -   　"
@@ -52,16 +52,18 @@ KANA_TWINS = {b: a for a, b in KANJI_TWINS.items() if b != "ー"}
 HIRA_TWINS = dict(zip("へべぺり", "ヘベペリ"))
 KATA_TWINS = {b: a for a, b in HIRA_TWINS.items()}
 _KATA, _KANJI, _HIRA = "ァ-ヺー", "一-鿿々", "ぁ-ゖ"
-#: Without any of these a value is in its usual form; what the pattern passes goes to the transducer.
-CANDIDATE = (
-    f"[{_INVISIBLE}{_SPACES}{_WIDTHS}{_FORMS}{_MARKS}]|[{_FOREIGN}]"
-    f"|[{_KATA}][卜匕へべぺり]|[卜匕へべぺり][{_KATA}]|[{_KATA}][一力二八口工夕千三才又][{_KATA}\\s0-9第]|[{_HIRA}{_KANJI}][ヘベペリ][{_HIRA}{_KANJI}]"
-)
+#: Without any of these a value is in its usual form; what the patterns pass goes to the transducer.
+#: The class of few ranges goes first: almost every value fails it at once.
+UNUSUAL = f"[^\\n\\r\\t -~、-〟ぁ-ゖァ-ヿ一-鿿！-／：-＠［-｀｛-｠]"
+SHAPES = f"[{_INVISIBLE}{_SPACES}{_WIDTHS}{_FORMS}{_MARKS}]|[{_FOREIGN}]"
+BESIDE = f"[{_KATA}](?:[卜匕へべぺり]|[一力二八口工夕千三才又](?:[{_KATA}\\s0-9第]|$))|[卜匕へべぺり][{_KATA}]|[ヘベペリ](?<=[{_HIRA}{_KANJI}].)[{_HIRA}{_KANJI}]"
 #: Places where the neighbours leave it open which twin is meant.
-_OPEN = f"[{_KANJI}{_HIRA}{_KATA}][一力二八口工夕千三才又カニハロエタトチミオヌー][{_KANJI}{_HIRA}{_KATA}]"
-_TWIN = KANJI_TWINS | KANA_TWINS | {"ー": "一"}
+_OPEN = f"[{_KANJI}{_HIRA}{_KATA}][力二八口工夕千三才又][{_KANJI}{_HIRA}{_KATA}]|[{_KANJI}{_HIRA}{_KATA}][カニハロエタチミオヌ][{_KANJI}{_HIRA}]"
+_TWIN = {k: v for k, v in (KANJI_TWINS | KANA_TWINS).items() if k in "力二八口工夕千三才又カニハロエタチミオヌ"}
 #: The reading with the twin must stand in so many places, and so many times as often.
 OPEN_LEAST, OPEN_RATIO = 5, 5
+#: Up to so many places in conflict go to every task with the code; more are joined to the values.
+FEW_PLACES = 200
 
 
 def _expand(ranges: str) -> list[str]:
@@ -159,16 +161,17 @@ def canonical(text: str, open_places: set[str] | frozenset = frozenset()) -> tup
 
 
 def _places(value: Column) -> Column:
-    """Open places of a value, without invisible characters; overlapping ones too."""
-    return F.regexp_extract_all(F.regexp_replace(value, f"[{_INVISIBLE}]", ""), F.lit(f"(?=({_OPEN}))"), F.lit(1))
+    """Open places of a value, without invisible characters."""
+    seen = F.when(value.rlike(UNUSUAL), F.regexp_replace(value, f"[{_INVISIBLE}]", "")).otherwise(value)
+    return F.regexp_extract_all(seen, F.lit(_OPEN), F.lit(0))
 
 
-def open_conflicts(values: DataFrame) -> DataFrame:
-    """(place) that reads with the twin, by counts over all values; both counts combine before the shuffle."""
-    n = values.select(F.explode(_places(F.col("value"))).alias("place")).groupBy("place").agg(F.count("*").alias("n"))
+def open_conflicts(places: DataFrame) -> DataFrame:
+    """(place) that reads with the twin, by counts over all values; counts combine before the shuffle."""
+    n = places.groupBy("place").agg(F.count("*").alias("n"))
     twin = F.concat(F.substring("place", 1, 1), F.translate(F.substring("place", 2, 1), "".join(_TWIN), "".join(_TWIN.values())), F.substring("place", 3, 1))
     # Each place tells its own count, and its twin its count too; one aggregation brings both together.
-    told = n.select("place", "n", F.lit(0).alias("other")).unionByName(n.select(twin.alias("place"), F.lit(0).alias("n"), F.col("n").alias("other")))
+    told = n.select(F.explode(F.array(F.struct("place", "n", F.lit(0).cast("long").alias("other")), F.struct(twin.alias("place"), F.lit(0).cast("long").alias("n"), F.col("n").alias("other")))).alias("t")).select("t.*")
     return told.groupBy("place").agg(F.sum("n").alias("n"), F.sum("other").alias("other")).where(f"n > 0 and other >= {OPEN_LEAST} and other >= {OPEN_RATIO} * n").select("place")
 
 
@@ -184,24 +187,34 @@ def values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).where("value is not null and value != ''")
 
 
-def normalise(vals: DataFrame, conflicts: DataFrame) -> DataFrame:
+def normalise(vals: DataFrame) -> DataFrame:
     """One row per value that isn't in its usual form, with that form."""
     key = ["table_name", "field_name", "rec_id"]
-    # Only values with an open place that is in conflict are joined; the rest never shuffle their text.
-    hit = vals.select(*key, F.explode(F.array_distinct(_places(F.col("value")))).alias("place")).join(conflicts, "place", "left_semi").groupBy(*key).agg(F.sort_array(F.collect_set("place")).alias("places"))
-    rare = vals.join(hit, key)
-    plain = vals.where(F.col("value").rlike(CANDIDATE)).join(hit.select(*key), key, "left_anti").withColumn("places", F.array().cast("array<string>"))
+    places = cut(vals.select(*key, F.explode(_places(F.col("value"))).alias("place")))
+    conflicts = cut(open_conflicts(places))
+    few = [r.place for r in conflicts.limit(FEW_PLACES + 1).collect()]
+    value = F.col("value")
+    odd = (value.rlike(UNUSUAL) & value.rlike(SHAPES)) | value.rlike(BESIDE)
+    none = F.array().cast("array<string>")
+    if len(few) <= FEW_PLACES:
+        if few:
+            odd = odd | F.when(value.rlike(UNUSUAL), F.regexp_replace(value, f"[{_INVISIBLE}]", "")).otherwise(value).rlike("|".join(few))
+        asked = vals.where(odd).withColumn("places", F.array(*map(F.lit, few)) if few else none)
+    else:
+        hit = places.join(conflicts, "place", "left_semi").groupBy(*key).agg(F.sort_array(F.collect_set("place")).alias("places"))
+        rare = vals.join(hit, key)
+        asked = rare.unionByName(vals.where(odd).join(hit.select(*key), key, "left_anti").withColumn("places", none))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for t, f, i, v, places in zip(b.table_name, b.field_name, b.rec_id, b.value, b.places):
-                new, kinds = canonical(v, set(places))
+            for t, f, i, v, p in zip(b.table_name, b.field_name, b.rec_id, b.value, b.places):
+                new, kinds = canonical(v, set(p))
                 if kinds:
                     rows.append((t, f, i, new, sorted(kinds)))
             yield pd.DataFrame(rows, columns=["table_name", "field_name", "rec_id", "canonical", "kinds"])
 
-    return plain.select(*key, "value", "places").unionByName(rare.select(*key, "value", "places")).mapInPandas(run, RESULT)
+    return asked.select(*key, "value", "places").mapInPandas(run, RESULT)
 
 
 def garbled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,8 +224,7 @@ def garbled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vals = values(spark, sf_dir)
-    return normalise(vals, open_conflicts(vals)).join(garbled(spark, sf_dir), ["table_name", "field_name", "rec_id"], "left_anti")
+    return normalise(values(spark, sf_dir)).join(garbled(spark, sf_dir), ["table_name", "field_name", "rec_id"], "left_anti")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
