@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from quellwerk.llm import encoding, lookalikes, truncation
+from quellwerk.llm import encoding, leakage, lookalikes, quality, truncation
 
 
 def queries() -> dict:
     out = {}
-    for module in (encoding, lookalikes, truncation):
+    for module in (truncation, encoding, lookalikes, leakage, quality):
         out |= {name: f for name, f in vars(module).items() if name[:1] == "p" and name[1:2].isdigit()}
     return out
 
