@@ -6,8 +6,9 @@ pair ``written as -> read as``. Emissions are learned here, from clean texts of
 span then gets the inverse transform of its state. A span counts if its inverse reads as text
 again; the replacement character, which no inverse can undo, counts on its own.
 
-Rows without any character that garbling can leave behind have no other than the clean path,
-so a JVM-side pattern sends only the rest through Arrow to the model.
+Texts without any character that garbling can leave behind have no other than the clean path, so
+only the rest go through the model. (That pattern runs beside the model: its classes of far-apart
+ranges cost the JVM's matcher ten times as much as the transfer of the texts.)
 
 Defined results: null and empty texts have no span; very long texts are labelled whole; repeated
 rows each give a row; an empty table gives no rows; extra columns are ignored.
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quellwerk.llm.common import table
@@ -43,8 +44,6 @@ SUSPICIOUS = (
     "\\u00e0-\\u00e3\\u00e5-\\u00e8\\u00ea-\\u00f5\\u00f7-\\u00fb\\u00fd-\\u02ff\\u201a\\u2020\\u2021\\u2030\\u2039\\u203a\\u2122\\u2202\\u220f\\u2211\\u221a\\u221e\\u222b\\u2248\\u2260\\u2264\\u2265\\u25ca"
     "\\ue000-\\uf8ff\\ufb01\\ufb02\\uff61-\\uff9f\\ufffd]|\\$[B@][!-~]{2}"
 )
-#: A wider class of few ranges, which almost every clean Japanese text fails at once.
-UNUSUAL = "[^\\n\\r\\t -~\\u3000-\\u30ff\\u4e00-\\u9fff\\uff01-\\uff60]"
 #: The same without an escape of the pattern language, for Python.
 _SUSPICIOUS_PY = re.compile(SUSPICIOUS)
 _ESCAPE_RUN = re.compile("\x1b?\\$[B@]([!-~]{2,}?)(?:\x1b?\\([BJ]|(?=[^!-~])|$)")
@@ -98,11 +97,6 @@ PAIRS = {
 STATES = ["clean", *PAIRS]
 
 
-def suspicious(text: Column) -> Column:
-    """Whether a text can have another path than the clean one; the wide class goes first, it is far cheaper."""
-    return (text.rlike(UNUSUAL) | text.contains("$B") | text.contains("$@")) & text.rlike(SUSPICIOUS)
-
-
 def train(clean: list[str]) -> dict:
     """Emission log probabilities by state and the kanji seen, from clean texts and their garbled forms."""
     known = sorted({c for t in clean for c in t if "㐀" <= c <= "鿿"})
@@ -274,43 +268,44 @@ def texts(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
 
 
 def fit(all_texts: DataFrame, names: tuple[str, ...] = ("jp_case_detail", "parsed_document", "http_response")) -> dict:
-    """The model from ``TRAIN_ROWS`` clean texts a table, the first by hash: a top-k, not a shuffle."""
+    """The model from up to ``TRAIN_ROWS`` clean texts a table, the first by hash: a top-k, not a shuffle."""
     sample = []
     for name in names:
-        clean = all_texts.where((F.col("table_name") == name) & ~suspicious(F.col("text")))
-        sample += [r.text for r in clean.select(F.substring("text", 1, 20_000).alias("text")).orderBy(F.xxhash64("text"), "text").limit(TRAIN_ROWS).collect()]
+        first = all_texts.where(F.col("table_name") == name).select("rec_id", F.xxhash64("text").alias("h")).orderBy("h", "rec_id").limit(2 * TRAIN_ROWS)
+        ids = [r.rec_id for r in first.collect()]
+        rows = all_texts.where((F.col("table_name") == name) & F.col("rec_id").isin(ids)).select("text").collect()
+        sample += sorted(r.text[:20_000] for r in rows if not _SUSPICIOUS_PY.search(r.text))[:TRAIN_ROWS]
     return train(sample)
 
 
+def label_odd(texts: list[str], model: dict) -> dict[int, list]:
+    """Spans of the texts that may have any, by position."""
+    odd = [k for k, t in enumerate(texts) if _SUSPICIOUS_PY.search(t)]
+    return dict(zip(odd, label([texts[k] for k in odd], model))) if odd else {}
+
+
 def detect(all_texts: DataFrame, model: dict) -> DataFrame:
     """One row per record with a garbled span, with the restored text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = label(b.text.tolist(), model)
-            rows = []
-            for n, i, t, raw, f in zip(b.table_name, b.rec_id, b.text, b.raw, found):
+            texts, rows = b.text.tolist(), []
+            for k, f in label_odd(texts, model).items():
+                n, i, raw = b.table_name.iat[k], b.rec_id.iat[k], b.raw.iat[k]
                 whole = raw is not None and from_bytes(bytes(raw), model["_known"])
                 if whole:
                     rows.append((n, i, 1, len(whole[1]), [f"{whole[0]}_as_utf8"], whole[1]))
                 elif f:
-                    rows.append((n, i, len(f), sum(y - x for x, y, *_ in f), sorted({k for _, _, k, _ in f}), repair(t, f)))
+                    rows.append((n, i, len(f), sum(y - x for x, y, *_ in f), sorted({k for _, _, k, _ in f}), repair(texts[k], f)))
             yield pd.DataFrame(rows, columns=["table_name", "rec_id", "n_spans", "garbled_chars", "pairs", "restored"])
 
-    return all_texts.where(suspicious(F.col("text"))).select("table_name", "rec_id", "text", "raw").mapInPandas(run, RESULT)
+    return all_texts.select("table_name", "rec_id", "text", "raw").mapInPandas(run, RESULT)
 
 
-def repaired(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """(rec_id, text) of a table with garbled spans restored where possible; other texts pass untouched in the JVM."""
-    t = texts(spark, sf_dir, name)
-    model = fit(t, (name,))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"rec_id": b.rec_id, "text": [repair(x, f) for x, f in zip(b.text, label(b.text.tolist(), model))]})
-
-    odd = suspicious(F.col("text"))
-    return t.where(~odd).select("rec_id", "text").unionByName(t.where(odd).select("rec_id", "text").mapInPandas(run, "rec_id long, text string"))
+def repaired(texts: list[str], model: dict) -> list[str]:
+    """The texts with garbled spans restored where possible."""
+    found = label_odd(texts, model)
+    return [repair(t, found[k]) if found.get(k) else t for k, t in enumerate(texts)]
 
 
 TABLES = ("jp_case_detail", "parsed_document", "http_response")

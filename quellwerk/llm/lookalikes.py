@@ -16,12 +16,13 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quellwerk.llm import encoding
@@ -52,13 +53,15 @@ KANA_TWINS = {b: a for a, b in KANJI_TWINS.items() if b != "ー"}
 HIRA_TWINS = dict(zip("へべぺり", "ヘベペリ"))
 KATA_TWINS = {b: a for a, b in HIRA_TWINS.items()}
 _KATA, _KANJI, _HIRA = "ァ-ヺー", "一-鿿々", "ぁ-ゖ"
-#: Without any of these a value is in its usual form; what the patterns pass goes to the transducer.
-#: The class of few ranges goes first: almost every value fails it at once.
-UNUSUAL = f"[^\\n\\r\\t -~、-〟ぁ-ゖァ-ヿ一-鿿！-／：-＠［-｀｛-｠]"
-SHAPES = f"[{_INVISIBLE}{_SPACES}{_WIDTHS}{_FORMS}{_MARKS}]|[{_FOREIGN}]"
-BESIDE = f"[{_KATA}](?:[卜匕へべぺり]|[一力二八口工夕千三才又](?:[{_KATA}\\s0-9第]|$))|[卜匕へべぺり][{_KATA}]|[ヘベペリ](?<=[{_HIRA}{_KANJI}].)[{_HIRA}{_KANJI}]"
-#: Places where the neighbours leave it open which twin is meant.
-_OPEN = f"[{_KANJI}{_HIRA}{_KATA}][力二八口工夕千三才又][{_KANJI}{_HIRA}{_KATA}]|[{_KANJI}{_HIRA}{_KATA}][カニハロエタチミオヌ][{_KANJI}{_HIRA}]"
+#: Without any of these a value is in its usual form; what the patterns find goes to the transducer.
+_SHAPES = re.compile(f"[{_INVISIBLE}{_SPACES}{_WIDTHS}{_FORMS}{_MARKS}{_FOREIGN}]")
+_BESIDE = re.compile(
+    f"[卜匕](?:(?=[{_KATA}])|(?<=[{_KATA}].))|[へべぺり](?:(?=[{_KATA}])|(?<=[{_KATA}].))|[ヘベペリ](?<=[{_HIRA}{_KANJI}].)(?=[{_HIRA}{_KANJI}])"
+    f"|[一力二八口工夕千三才又](?<=[{_KATA}].)(?=[{_KATA}\\s0-9第]|$)"
+)
+#: Places where the neighbours leave it open which twin is meant; the middle is tried first.
+_OPEN = re.compile(f"[力二八口工夕千三才又](?<=[{_KANJI}{_HIRA}{_KATA}].)(?=[{_KANJI}{_HIRA}{_KATA}])|[カニハロエタチミオヌ](?<=[{_KANJI}{_HIRA}{_KATA}].)(?=[{_KANJI}{_HIRA}])")
+_UNSEEN = re.compile(f"[{_INVISIBLE}]+")
 _TWIN = {k: v for k, v in (KANJI_TWINS | KANA_TWINS).items() if k in "力二八口工夕千三才又カニハロエタチミオヌ"}
 #: The reading with the twin must stand in so many places, and so many times as often.
 OPEN_LEAST, OPEN_RATIO = 5, 5
@@ -160,15 +163,26 @@ def canonical(text: str, open_places: set[str] | frozenset = frozenset()) -> tup
     return text, kinds
 
 
-def _places(value: Column) -> Column:
+def places(text: str) -> Counter:
     """Open places of a value, without invisible characters."""
-    seen = F.when(value.rlike(UNUSUAL), F.regexp_replace(value, f"[{_INVISIBLE}]", "")).otherwise(value)
-    return F.regexp_extract_all(seen, F.lit(_OPEN), F.lit(0))
+    text = _UNSEEN.sub("", text)
+    return Counter(text[m.start() - 1 : m.end() + 1] for m in _OPEN.finditer(text))
+
+
+def open_places(vals: DataFrame) -> DataFrame:
+    """(table_name, field_name, rec_id, place, n) of all values."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(t, f, i, p, n) for t, f, i, v in zip(b.table_name, b.field_name, b.rec_id, b.value) for p, n in places(v).items()]
+            yield pd.DataFrame(rows, columns=["table_name", "field_name", "rec_id", "place", "n"])
+
+    return vals.mapInPandas(run, "table_name string, field_name string, rec_id long, place string, n long")
 
 
 def open_conflicts(places: DataFrame) -> DataFrame:
     """(place) that reads with the twin, by counts over all values; counts combine before the shuffle."""
-    n = places.groupBy("place").agg(F.count("*").alias("n"))
+    n = places.groupBy("place").agg(F.sum("n").alias("n"))
     twin = F.concat(F.substring("place", 1, 1), F.translate(F.substring("place", 2, 1), "".join(_TWIN), "".join(_TWIN.values())), F.substring("place", 3, 1))
     # Each place tells its own count, and its twin its count too; one aggregation brings both together.
     told = n.select(F.explode(F.array(F.struct("place", "n", F.lit(0).cast("long").alias("other")), F.struct(twin.alias("place"), F.lit(0).cast("long").alias("n"), F.col("n").alias("other")))).alias("t")).select("t.*")
@@ -190,28 +204,26 @@ def values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def normalise(vals: DataFrame) -> DataFrame:
     """One row per value that isn't in its usual form, with that form."""
     key = ["table_name", "field_name", "rec_id"]
-    places = cut(vals.select(*key, F.explode(_places(F.col("value"))).alias("place")))
-    conflicts = cut(open_conflicts(places))
+    found = cut(open_places(vals))
+    conflicts = cut(open_conflicts(found))
     few = [r.place for r in conflicts.limit(FEW_PLACES + 1).collect()]
-    value = F.col("value")
-    odd = (value.rlike(UNUSUAL) & value.rlike(SHAPES)) | value.rlike(BESIDE)
-    none = F.array().cast("array<string>")
     if len(few) <= FEW_PLACES:
-        if few:
-            odd = odd | F.when(value.rlike(UNUSUAL), F.regexp_replace(value, f"[{_INVISIBLE}]", "")).otherwise(value).rlike("|".join(few))
-        asked = vals.where(odd).withColumn("places", F.array(*map(F.lit, few)) if few else none)
+        asked = vals.withColumn("places", F.lit(None).cast("array<string>"))
     else:
-        hit = places.join(conflicts, "place", "left_semi").groupBy(*key).agg(F.sort_array(F.collect_set("place")).alias("places"))
-        rare = vals.join(hit, key)
-        asked = rare.unionByName(vals.where(odd).join(hit.select(*key), key, "left_anti").withColumn("places", none))
+        few = []
+        hit = found.join(conflicts, "place", "left_semi").groupBy(*key).agg(F.collect_set("place").alias("places"))
+        asked = vals.join(hit, key, "left")
+    open_ = re.compile("|".join(map(re.escape, few))) if few else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for t, f, i, v, p in zip(b.table_name, b.field_name, b.rec_id, b.value, b.places):
-                new, kinds = canonical(v, set(p))
-                if kinds:
-                    rows.append((t, f, i, new, sorted(kinds)))
+            for t, f, i, v, own in zip(b.table_name, b.field_name, b.rec_id, b.value, b.places):
+                here = set(own) if own is not None else set(open_.findall(_UNSEEN.sub("", v))) if open_ else set()
+                if here or _SHAPES.search(v) or _BESIDE.search(v):
+                    new, kinds = canonical(v, here)
+                    if kinds:
+                        rows.append((t, f, i, new, sorted(kinds)))
             yield pd.DataFrame(rows, columns=["table_name", "field_name", "rec_id", "canonical", "kinds"])
 
     return asked.select(*key, "value", "places").mapInPandas(run, RESULT)

@@ -17,6 +17,7 @@ texts are taken whole; empty tables give no rows; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -45,6 +46,7 @@ _ENDED = re.compile("[.?!…。．？！]['\"“”»›’)）」』\\]]*$")
 _PENDING = re.compile("(?:^|[\\s(])(?:Abs|Nr|Art|Urt|Az|Bl|bzw|vgl|ca|rd|zzgl|Dr|Prof|i|V|m|u|a|d|h|H|v|z|B|ff|S|Rn|Ziff)\\.$|\\b(?:am|vom|zum|seit|dem|bis|von|über|um|auf)\\s[0-9]{1,3}\\.$")
 _INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 _TOKEN = "[一-龥々]+|[ァ-ヺー]+|[ぁ-ゖ]+|[A-Za-zÀ-ɏ]+"
+_TOKENS = re.compile(_TOKEN)
 _LAST_TOKEN = re.compile(f"(?:{_TOKEN})$")
 END = "table_name string, rec_id long, source string, n_chars int, ok boolean, unclosed boolean, short_block boolean, token string"
 
@@ -76,21 +78,38 @@ def end_traits(text: str) -> tuple[bool, bool, bool, str] | None:
     return ended and not unclosed, unclosed, len(block) <= HEADING_MOST and "\n" not in block, token[0] if token else ""
 
 
-def ends(texts: DataFrame) -> DataFrame:
-    """texts(table_name, rec_id, source, text) with the traits of each text's end."""
+#: Distinct tokens that a task counts before it passes the counts on.
+MOST_COUNTED = 200_000
+SCAN = END + ", n long"
+
+
+def scan(texts: DataFrame, model: dict) -> DataFrame:
+    """One pass over all texts: a row per end with its traits, and rows of token counts, combined within each task.
+
+    Japanese texts are repaired first (problem 2).
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter = Counter()
+        none = (None,) * 7
         for b in batches:
-            rows = [(t, i, s, len(x), *e) for t, i, s, x in zip(b.table_name, b.rec_id, b.source, b.text) if (e := end_traits(x))]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in END.split(", ")])
+            bodies = b.text.tolist()
+            if (b.table_name == "jp_case_detail").any():
+                bodies = encoding.repaired(bodies, model)
+            rows = [(t, i, s, len(x), *e, None) for t, i, s, x in zip(b.table_name, b.rec_id, b.source, bodies) if (e := end_traits(x))]
+            for x in bodies:
+                counts.update(_TOKENS.findall(x))
+            if len(counts) > MOST_COUNTED:
+                rows += [(*none, k, n) for k, n in counts.items()]
+                counts.clear()
+            yield _frame(rows)
+        yield _frame([(*none, k, n) for k, n in counts.items()])
 
-    return texts.select("table_name", "rec_id", "source", "text").mapInPandas(run, END)
+    return texts.select("table_name", "rec_id", "source", "text").mapInPandas(run, SCAN)
 
 
-def vocabulary(texts: DataFrame) -> DataFrame:
-    """(token, n) of all texts; counts combine within each task before the shuffle."""
-    tokens = F.regexp_extract_all("text", F.lit(_TOKEN), F.lit(0))
-    return texts.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in SCAN.split(", ")]).astype({"rec_id": "Int64", "n_chars": "Int64", "n": "Int64", "ok": "boolean", "unclosed": "boolean", "short_block": "boolean"})
 
 
 def trie(vocab: DataFrame) -> DataFrame:
@@ -99,12 +118,13 @@ def trie(vocab: DataFrame) -> DataFrame:
     return known.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.substring(F.col("token"), F.lit(1), i))).alias("token")).groupBy("token").agg(F.count("*").alias("below"))
 
 
-def detect(texts: DataFrame) -> DataFrame:
+def detect(texts: DataFrame, model: dict) -> DataFrame:
     """One row per text: whether it is cut, and by which witnesses."""
     kept = ["table_name", "rec_id", "source"]
-    end = cut(ends(texts))
+    scanned = cut(scan(texts, model))
+    end = scanned.where("n is null")
     ok = F.col("ok")
-    vocab = vocabulary(texts)
+    vocab = scanned.where("n is not null").groupBy("token").agg(F.sum("n").alias("n"))
     # Only open ends ask the vocabulary; their tokens are joined to it, not it to them.
     asked = end.where(~ok).groupBy("token").agg(F.count("*").alias("asked"))
     seen = asked.join(vocab, "token", "left").join(trie(vocab), "token", "left")
@@ -123,21 +143,23 @@ def detect(texts: DataFrame) -> DataFrame:
     return found.where("not short_block or broken_word or at_limit or unclosed").select(*kept, "broken_word", "unclosed", "at_limit")
 
 
-def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(table_name, rec_id, source, text) of both tables; the Japanese ones are repaired first (problem 2)."""
+def texts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
+    """(table_name, rec_id, source, text) of both tables, and the model that repairs the Japanese ones."""
     de = table(spark, sf_dir, "de_case_detail", "rec_id", "source", "full_text").select(F.lit("de_case_detail").alias("table_name"), "rec_id", "source", F.col("full_text").alias("text"))
-    jp = encoding.repaired(spark, sf_dir, "jp_case_detail").select(F.lit("jp_case_detail").alias("table_name"), "rec_id", F.lit(None).cast("string").alias("source"), "text")
-    return de.unionByName(jp).where("text is not null and text != ''")
+    jp = table(spark, sf_dir, "jp_case_detail", "rec_id", "url", "full_text").select(F.lit("jp_case_detail").alias("table_name"), "rec_id", F.try_parse_url("url", F.lit("HOST")).alias("source"), F.col("full_text").alias("text"))
+    both = de.unionByName(jp).where("text is not null and text != ''")
+    return both, encoding.fit(both, ("jp_case_detail",))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detect(texts(spark, sf_dir)).select("table_name", "rec_id")
+    return detect(*texts(spark, sf_dir)).select("table_name", "rec_id")
 
 
 def p1_share_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts, cut texts and their share by source (ja: host of the url)."""
-    cut = detect(texts(spark, sf_dir)).select("table_name", "rec_id", F.lit(1).alias("cut"))
-    de = table(spark, sf_dir, "de_case_detail", "rec_id", "source", "full_text").select(F.lit("de_case_detail").alias("table_name"), "rec_id", "source", "full_text")
-    jp = table(spark, sf_dir, "jp_case_detail", "rec_id", "url", "full_text").select(F.lit("jp_case_detail").alias("table_name"), "rec_id", F.parse_url("url", F.lit("HOST")).alias("source"), "full_text")
-    full = de.unionByName(jp).where("full_text is not null and full_text != ''").drop("full_text")
-    return full.join(cut, ["table_name", "rec_id"], "left").groupBy("table_name", "source").agg(F.count("*").alias("n_texts"), F.count("cut").alias("n_cut"), F.round(F.count("cut") / F.count("*"), 4).alias("share_cut"))
+    full, model = texts(spark, sf_dir)
+    n = full.groupBy("table_name", "source").agg(F.count("*").alias("n_texts"))
+    cut_ = detect(full, model).groupBy("table_name", "source").agg(F.count("*").alias("n_cut"))
+    same = (n.table_name == cut_.table_name) & n.source.eqNullSafe(cut_.source)
+    n_cut = F.coalesce("n_cut", F.lit(0))
+    return n.join(cut_, same, "left").select(n.table_name, n.source, "n_texts", n_cut.alias("n_cut"), F.round(n_cut / F.col("n_texts"), 4).alias("share_cut"))
