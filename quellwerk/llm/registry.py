@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from quellwerk.llm import encoding, leakage, lookalikes, neardup, quality, sentences, truncation
+from quellwerk.llm import encoding, leakage, lookalikes, neardup, packing, quality, sentences, truncation
 
 
 def queries() -> dict:
     out = {}
-    for module in (truncation, encoding, neardup, sentences, lookalikes, leakage, quality):
+    for module in (truncation, encoding, neardup, sentences, lookalikes, packing, leakage, quality):
         out |= {name: f for name, f in vars(module).items() if name[:1] == "p" and name[1:2].isdigit()}
     return out
 
