@@ -37,7 +37,7 @@ _HIRA = re.compile("[ぁ-ゖ]")
 _MARKER = re.compile(r"\s*(?:[-–—*•·・»>▪◦‣+]\s*|\(?\d{1,4}[.):]\s+|\d{1,4}\s+[-–]\s+|[a-z]\)\s+|[①-⑳]\s*)")
 _LEADER = re.compile(r"(?:\.\s?){4,}|…{2,}|_{4,}|-{4,}|={4,}")
 _PAIR = re.compile(r"\s*[^:：\n]{1,40}[:：]\s*\S[^\n]{0,40}$")
-_TERMINAL = re.compile("[.?!。．？！:：;][\"'“”’»)）」』\\]]*\\s*$")
+_TERMINAL = frozenset(".?!。．？！:：;")
 _END = re.compile("(?<=[。．？！])(?![」』）])|(?<=[.?!])(?=[\\s\"“”»)]+[A-ZÄÖÜ„\"“(]|\\s*$)|(?<=[.?!][”“\"])(?=\\s)")
 _CLEAN = re.compile(r"[\"'“”„‘’«»(（\[「『【]*(?:[^\W\d_]+(?:['’./&-][^\W\d_]+)*|[§$€£]*[\d.,:/%–-]+[^\W\d_]{0,4}|[^\W\d_]{1,4}[\d]+|§+|&|–|—|[^\W\d_]+-)[\"'“”‘’«»)）\]」』】.,;:?!%…]*$")
 _GAP = re.compile(r"\S\s{2,}(?=\S)")
@@ -51,6 +51,11 @@ def _solid(s: str) -> int:
     return len("".join(s.split()))
 
 
+def _ends(line: str) -> bool:
+    """Whether a line ends with a sentence mark, closing marks apart."""
+    return line.rstrip().rstrip("\"'“”’»)）」』]")[-1:] in _TERMINAL
+
+
 def aligned(lines: list[str]) -> np.ndarray:
     """Lines whose delimiters stand as in the lines around them: same number of one delimiter, or gaps of spaces at the same places."""
     n = len(lines)
@@ -136,16 +141,16 @@ def prose_share(text: str, words: dict[str, frozenset]) -> tuple[float, float, f
     for i, x in enumerate(lines):
         item = _MARKER.match(x)
         if table_line[i]:
-            structured[i] = not (_TERMINAL.search(x) and _runs(x, words))
+            structured[i] = not (_ends(x) and _runs(x, words))
         elif _LEADER.search(x):
             structured[i] = True
         elif item:
             body = x[item.end() :]
-            structured[i] = not ((len(body) > 60 or _TERMINAL.search(body)) and _runs(body, words))
+            structured[i] = not ((len(body) > 60 or _ends(body)) and _runs(body, words))
         elif len(x) <= 90 and _PAIR.match(x):
             structured[i] = not _runs(x, words)
     # Short lines without sentence marks one after the other: cells or names line by line.
-    plain = [not structured[i] and len(x) <= 30 and not _TERMINAL.search(x) and not _runs(x, words) for i, x in enumerate(lines)]
+    plain = [not structured[i] and len(x) <= 30 and not _ends(x) and not _runs(x, words) for i, x in enumerate(lines)]
     for i in range(len(lines)):
         if plain[i] and sum(plain[max(0, i - 2) : i + 3]) >= 4:
             structured[i] = True
@@ -156,7 +161,7 @@ def prose_share(text: str, words: dict[str, frozenset]) -> tuple[float, float, f
         got, joined = 0, ""
         for x in run:
             # A line goes on from the last one unless that ended.
-            joined += ("" if joined[-1:] and _JA.match(joined[-1]) else " ") + x.strip() if joined and not re.search("[。．？！.?!:：][」』）)”“\"]*$", joined) else "\n" + x.strip()
+            joined += ("" if joined[-1:] and _JA.match(joined[-1]) else " ") + x.strip() if joined and not _ends(joined) else "\n" + x.strip()
         for part in joined.split("\n"):
             for s in _END.split(part):
                 if s and _runs(s, words):
@@ -195,10 +200,10 @@ def statistics(text: str, words: dict[str, frozenset]) -> tuple:
     else:
         low = [x.lower() for x in w]
         common = max((sum(map(v.__contains__, low)) for v in words.values()), default=0) / max(1, n_words)
-    letters, digits = sum(map(len, w)), len(re.findall(r"\d", text))
+    letters, digits = sum(map(len, w)), sum(map(text.count, "0123456789"))
     share, structured, in_columns = prose_share(text, words)
     return (
-        n_words, letters / max(1, n_words), max(0, solid - letters - digits) / solid, sum(bool(_TERMINAL.search(x)) for x in lines) / max(1, len(lines)), common, digits / solid,
+        n_words, letters / max(1, n_words), max(0, solid - letters - digits) / solid, sum(_ends(x) for x in lines) / max(1, len(lines)), common, digits / solid,
         in_columns, periodicity(lines), length_steadiness(lines), structured, share, not lines or share >= PROSE_SHARE,
     )
 
