@@ -6,6 +6,7 @@ Patterns that were written for a Unicode-aware matcher carry ``(?U)`` or spell w
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -84,8 +85,18 @@ def all_matches(text: Column, rules: list[str]) -> Column:
 
 
 def first_matches(text: Column, rules: list[str], flags: str = "") -> Column:
-    """TXT10, TXT11: sorted distinct first matches, one a pattern."""
-    return F.array_sort(F.array_distinct(F.filter(F.array(*[F.regexp_extract(text, flags + p, 0) for p in rules]), lambda x: x != "")))
+    """TXT10, TXT11: sorted distinct first matches, one a pattern.
+
+    A pattern is tried only where its literal start stands in the text, which is a plain search.
+    """
+    low = F.lower(text) if "i" in flags else text
+
+    def first(p: str) -> Column:
+        start = re.match(r"[^(\[?*+\\|.]*", p)[0]
+        start = start[:-1] if p[len(start) : len(start) + 1] == "?" else start
+        return F.when(low.contains(start.lower() if "i" in flags else start), F.regexp_extract(text, flags + p, 0)).otherwise("")
+
+    return F.array_sort(F.array_distinct(F.filter(F.array(*map(first, rules)), lambda x: x != "")))
 
 
 def is_japanese(text: Column) -> Column:

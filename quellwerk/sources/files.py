@@ -67,20 +67,20 @@ def sample_pool(spark: SparkSession, path: str) -> DataFrame:
 def load_jsonl(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """SRC5: JSON lines; blank and broken ones are dropped, columns united. SRC6 (``strict``): with its path and
     time of loading, and no rows are an error."""
-    df = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    if "_corrupt" in df.columns:
-        # Only the broken lines, a query that Spark doesn't allow on the raw file, are told by their own column.
-        cols = [c for c in df.columns if c != "_corrupt"]
-        if not cols:
-            raise ValueError(f"{path} holds no JSON object")
-        df = spark.read.schema(df.schema).option("columnNameOfCorruptRecord", "_corrupt").json(path).where("_corrupt is null").select(*cols)
-    if not df.columns:
+    found = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
+    cols = [c for c in found.columns if c != "_corrupt"]
+    if not cols:
         raise ValueError(f"{path} holds no JSON object")
-    if strict:
-        if df.limit(1).count() == 0:
-            raise ValueError(f"{path} is empty")
-        df = df.select("*", F.col("_metadata.file_path").alias("source_path"), F.current_timestamp().alias("loaded_at"))
-    return df
+    # Lines are parsed as a column, so that a count over pruned columns drops broken ones too.
+    types = found.select(*cols).schema.add("_corrupt", "string")
+    line = F.from_json("value", types, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("source_path"), "value").where(F.trim("value") != "")
+    df = rows.select("source_path", line.alias("r")).where("r is not null and r._corrupt is null").select("source_path", *[F.col("r").getField(c).alias(c) for c in cols])
+    if not strict:
+        return df.drop("source_path")
+    if df.limit(1).count() == 0:
+        raise ValueError(f"{path} is empty")
+    return df.withColumn("loaded_at", F.current_timestamp())
 
 
 def last_record(df: DataFrame, key: str, order: str) -> DataFrame:

@@ -111,6 +111,7 @@ def start(events: DataFrame, watches: DataFrame, out: str, checkpoint: str, deli
         path = f"{out}/batch={number}"
         rows.write.mode("overwrite").partitionBy("product").json(path)
         if deliver:
-            deliver(notifications(route(batch.sparkSession.read.json(path))))
+            # Read back, so that what is sent is what was logged and nothing is classified twice.
+            deliver(notifications(route(batch.sparkSession.read.schema(rows.schema).json(path))))
 
     return deduplicate(admit(events, watches)).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
