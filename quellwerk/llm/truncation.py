@@ -43,7 +43,7 @@ _AFTER = re.compile(f"\\s*(?:{_FURNITURE})\\s*")
 _MARKS = re.compile("(?:\\s*(?:…|\\.\\.\\.|\\[[^\\[\\]\\n]{1,20}\\]|（続き[^（）\\n]*）))+$")
 _ENDED = re.compile("[.?!…。．？！]['\"“”»›’)）」』\\]]*$")
 #: Abbreviations and numbers whose period doesn't end a sentence, as the end of a text.
-_PENDING = re.compile("(?:^|[\\s(])(?:Abs|Nr|Art|Urt|Az|Bl|bzw|vgl|ca|rd|zzgl|Dr|Prof|i|V|m|u|a|d|h|H|v|z|B|ff|S|Rn|Ziff)\\.$|\\b(?:am|vom|zum|seit|dem|bis|von|über|um|auf)\\s[0-9]{1,3}\\.$")
+_PENDING = re.compile("(?:^|[\\s(])(?:Abs|Nr|Art|Urt|Az|Bl|bzw|vgl|ca|rd|zzgl|Dr|Prof|i|V|m|u|a|d|h|H|v|z|B|ff|S|Rn|Ziff)\\.$|\\b(?:am|vom|zum|seit|dem|bis|von|über|um|auf|v\\.)\\s[0-9]{1,3}\\.$")
 _INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 _TOKEN = "[一-龥々]+|[ァ-ヺー]+|[ぁ-ゖ]+|[A-Za-zÀ-ɏ]+"
 _TOKENS = re.compile(_TOKEN)
