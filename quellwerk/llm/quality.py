@@ -38,7 +38,8 @@ _MARKER = re.compile(r"\s*(?:[-–—*•·・»>▪◦‣+]\s*|\(?\d{1,4}[.):]\
 _LEADER = re.compile(r"(?:\.\s?){4,}|…{2,}|_{4,}|-{4,}|={4,}")
 _PAIR = re.compile(r"\s*[^:：\n]{1,40}[:：]\s*\S[^\n]{0,40}$")
 _TERMINAL = frozenset(".?!。．？！:：;")
-_END = re.compile("(?<=[。．？！])(?![」』）])|(?<=[.?!])(?=[\\s\"“”»)]+[A-ZÄÖÜ„\"“(]|\\s*$)|(?<=[.?!][”“\"])(?=\\s)")
+_END_JA = re.compile("(?<=[。．？！])(?![」』）])|(?<=[.?!])\\s+(?=[A-ZÄÖÜ„\"“(])")
+_END = re.compile("(?<=[.?!])[\"“”»)]*\\s+(?=[A-ZÄÖÜ„\"“(])")
 _CLEAN = re.compile(r"[\"'“”„‘’«»(（\[「『【]*(?:[^\W\d_]+(?:['’./&-][^\W\d_]+)*|[§$€£]*[\d.,:/%–-]+[^\W\d_]{0,4}|[^\W\d_]{1,4}[\d]+|§+|&|–|—|[^\W\d_]+-)[\"'“”‘’«»)）\]」』】.,;:?!%…]*$")
 _GAP = re.compile(r"\S\s{2,}(?=\S)")
 _SIGN = re.compile(r"[^\w\s、。，．「」『』（）・【】％%().,–:：〜？！-]")
@@ -111,23 +112,27 @@ def length_steadiness(lines: list[str]) -> float:
 def _runs(sentence: str, words: dict[str, frozenset]) -> bool:
     """Whether a sentence is running text."""
     s = sentence.strip()
-    ja = len(_JA.findall(s))
-    if ja:
-        solid = _solid(s)
-        if ja * 3 > solid:
-            hira = len(_HIRA.findall(s))
-            return solid >= 8 and hira >= 0.15 * ja and len(_SIGN.findall(s)) <= 0.1 * solid and hira >= 3
-    tokens = s.split()
+    if not s.isascii():
+        ja = len(_JA.findall(s))
+        if ja:
+            solid = _solid(s)
+            if ja * 3 > solid:
+                hira = len(_HIRA.findall(s))
+                return solid >= 8 and hira >= 0.15 * ja and hira >= 3 and len(_SIGN.findall(s)) <= 0.1 * solid
+    tokens = [t.strip(_EDGES) for t in s.split()]
     if len(tokens) < 3:
         return False
-    w = _WORD.findall(s.lower())
-    if len(w) < 3:
+    plain = [t.lower() for t in tokens if t.isalpha()]
+    if len(plain) < 3:
         return False
-    common = max((sum(map(v.__contains__, w)) for v in words.values()), default=0)
-    if common < max(1, 0.08 * len(w)):
+    common = max((sum(map(v.__contains__, plain)) for v in words.values()), default=0)
+    if common < max(1, 0.08 * len(plain)):
         return False
-    clean = sum(x.strip(_EDGES).isalpha() or bool(_CLEAN.match(x)) for x in tokens)
-    return clean >= 0.75 * len(tokens)
+    # Numbers, hyphens and the like are looked at only where they could decide.
+    odd = len(tokens) - len(plain)
+    if odd > 0.25 * len(tokens):
+        odd -= sum(bool(_CLEAN.match(t)) for t in tokens if not t.isalpha())
+    return odd <= 0.25 * len(tokens)
 
 
 def prose_share(text: str, words: dict[str, frozenset]) -> tuple[float, float, float]:
@@ -156,14 +161,16 @@ def prose_share(text: str, words: dict[str, frozenset]) -> tuple[float, float, f
             structured[i] = True
     seen: Counter = Counter()
     mass, run = 0, []
+    ja = bool(_JA.search(text))
+    ends = _END_JA if ja else _END
 
     def flush() -> int:
         got, joined = 0, ""
         for x in run:
             # A line goes on from the last one unless that ended.
-            joined += ("" if joined[-1:] and _JA.match(joined[-1]) else " ") + x.strip() if joined and not _ends(joined) else "\n" + x.strip()
+            joined += ("" if ja and joined[-1:] and _JA.match(joined[-1]) else " ") + x.strip() if joined and not _ends(joined) else "\n" + x.strip()
         for part in joined.split("\n"):
-            for s in _END.split(part):
+            for s in ends.split(part):
                 if s and _runs(s, words):
                     key = re.sub(r"\d+", "0", s.strip().lower())
                     seen[key] += 1
