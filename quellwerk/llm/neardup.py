@@ -18,6 +18,7 @@ with each other; repeated rows are rows; empty tables give no pairs; extra colum
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,9 +75,9 @@ def signature(text: str) -> np.ndarray:
     return out
 
 
-def bands(sig: np.ndarray) -> np.ndarray:
+def bands(sig: np.ndarray, seed: int = 0) -> np.ndarray:
     rows = sig.reshape(BANDS, ROWS)
-    h = np.arange(BANDS, dtype=np.uint64) * _P
+    h = np.arange(seed * BANDS, (seed + 1) * BANDS, dtype=np.uint64) * _P
     for k in range(ROWS):
         h = _mix(h * _P + rows[:, k])
     return h.view(np.int64)
@@ -102,7 +103,7 @@ def sign(texts: DataFrame, pivots: np.ndarray) -> DataFrame:
                 if len(x) >= LEAST:
                     s = signature(x)
                     fp = fingerprint(s)
-                    rows.append((t, i, hashlib.blake2b(x.encode("utf-8", "surrogatepass"), digest_size=16).digest(), bands(s), fp.tobytes(), distances(fp, pivots)))
+                    rows.append((t, i, hashlib.blake2b(x.encode("utf-8", "surrogatepass"), digest_size=16).digest(), bands(s, zlib.crc32(t.encode())), fp.tobytes(), distances(fp, pivots)))
             yield pd.DataFrame(rows, columns=["table_name", "rec_id", "text_key", "bands", "fp", "pivots"])
 
     return texts.mapInPandas(run, SIGNED)
@@ -130,10 +131,11 @@ def near_representatives(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     reps = signed.groupBy("table_name", "text_key").agg(F.min("rec_id").alias("rep"))
     members = signed.select("table_name", "rec_id", "text_key").join(reps, ["table_name", "text_key"]).select("table_name", "rec_id", "rep")
     firsts = signed.join(reps.select("table_name", F.col("rep").alias("rec_id")), ["table_name", "rec_id"], "left_semi")
-    keys = firsts.select("table_name", "rec_id", F.explode("bands").alias("band"))
-    a, b = keys.alias("a"), keys.alias("b")
-    same = (F.col("a.table_name") == F.col("b.table_name")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.rec_id") < F.col("b.rec_id"))
-    found = a.join(b, same).select("a.table_name", F.col("a.rec_id").alias("rep_a"), F.col("b.rec_id").alias("rep_b")).distinct()
+    # Bands carry their table in the hash, so the widest join has one number for its key.
+    keys = firsts.select(F.col("rec_id").alias("r"), F.col("table_name").alias("t"), F.explode("bands").alias("band"))
+    a, b = keys.alias("a"), keys.select("r", "band").alias("b")
+    same = (F.col("a.band") == F.col("b.band")) & (F.col("a.r") < F.col("b.r"))
+    found = a.join(b, same).select(F.col("a.t").alias("table_name"), F.col("a.r").alias("rep_a"), F.col("b.r").alias("rep_b")).distinct()
     fps = firsts.select("table_name", "rec_id", "fp", "pivots")
 
     def side(df: DataFrame, s: str) -> DataFrame:
