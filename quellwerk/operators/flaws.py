@@ -71,19 +71,24 @@ def filing_flaws(docs: DataFrame) -> DataFrame:
 def taxonomy(flaws: DataFrame, n_documents: int, key: str = "source_id", examples: int = 3) -> DataFrame:
     """AGG8: by type, subtype and section the count, frequency, last severity and first examples.
 
-    Order is by key and section: arrival order isn't kept by a distributed scan. Examples are kept by
-    rank, so no group is gathered whole.
+    Order is by key and section: arrival order isn't kept by a distributed scan. No group is gathered
+    whole: counts combine within tasks, examples are bounded by rank within tasks.
     """
     group = ["flaw_type", "flaw_subtype", "segment"]
-    rank = F.row_number().over(Window.partitionBy(*group, F.col("evidence") != "").orderBy(key))
-    rows = flaws.withColumn("rank", F.when(F.col("evidence") != "", rank))
-    out = rows.groupBy(*group).agg(
-        F.count("*").alias("count"), F.max_by("severity", key).alias("severity"), F.max_by("description", key).alias("description"),
-        F.transform(F.array_sort(F.collect_list(F.when(F.col("rank") <= examples, F.struct("rank", "evidence")))), lambda x: x["evidence"]).alias("examples"),
-    )
+    named = [F.coalesce(c, F.lit("")).alias(c) for c in group]
+    first = first_rows(flaws.where("evidence != ''").select(*named, key, "evidence"), group, [key, "evidence"], examples)
+    first = first.groupBy(*group).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "evidence"))), lambda x: x["evidence"]).alias("examples"))
+    out = flaws.select(*named, key, "severity", "description").groupBy(*group).agg(F.count("*").alias("count"), F.max_by("severity", key).alias("severity"), F.max_by("description", key).alias("description"))
+    out = out.join(first, group, "left").withColumn("examples", F.coalesce("examples", F.array().cast("array<string>")))
     return out.withColumn("frequency", F.round(F.col("count") / F.lit(max(n_documents, 1)), 4))
 
 
+def first_rows(df: DataFrame, group: list[str], order: list[str], k: int) -> DataFrame:
+    """WIN5: the first k rows of each group. The bound is on the rank itself, so each task drops the rest of a
+    large group before the shuffle."""
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("rank") <= k)
+
+
 MENTIONS = "rec_id long, type string, match string, context string, position int"
 
 
@@ -111,6 +116,6 @@ def mentions(docs: DataFrame, rules: list[tuple[str, str]], around: int, ignore_
 
 def court_taxonomy(found: DataFrame, examples: int = 5) -> DataFrame:
     """AGG9, WIN5, SRT2: count by type with the first contexts by record and position."""
-    rank = F.row_number().over(Window.partitionBy("type").orderBy("rec_id", "position"))
-    rows = found.withColumn("rank", rank)
-    return rows.groupBy("type").agg(F.count("*").alias("count"), F.transform(F.array_sort(F.collect_list(F.when(F.col("rank") <= examples, F.struct("rank", "context")))), lambda x: x["context"]).alias("examples"))
+    first = first_rows(found.select("type", "rec_id", "position", "context"), ["type"], ["rec_id", "position"], examples)
+    first = first.groupBy("type").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "context"))), lambda x: x["context"]).alias("examples"))
+    return found.groupBy("type").agg(F.count("*").alias("count")).join(first, "type")

@@ -175,7 +175,7 @@ def mixed_dataset(tiers: dict[str, DataFrame], total: int, seed: int = 42) -> Da
     return number(both, F.xxhash64("text", "quality_tier", F.lit(seed)), "n").withColumn("document_id", F.format_string("DOC-%06d", "n")).drop("n")
 
 
-def number(df: DataFrame, order: Column, name: str, buckets: int = 256) -> DataFrame:
+def number(df: DataFrame, order: Column, name: str, buckets: int = 4_096) -> DataFrame:
     """WIN4: 1, 2, … by order, over buckets of a hash: counts of buckets give each its offset, windows number within."""
     x = df.withColumn("__o", order).withColumn("__b", F.shiftright(F.col("__o"), 64 - buckets.bit_length() + 1))
     sizes = x.groupBy("__b").agg(F.count("*").alias("__n"))
