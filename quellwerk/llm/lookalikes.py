@@ -31,7 +31,7 @@ from quellwerk.llm.common import cut, table
 _INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​-‏‪-‮⁠-⁤⁦-⁯︀-️﻿"
 _SPACES = "   -   　"
 _WIDTHS = "０-９Ａ-Ｚａ-ｚ｡-ﾟ"
-_FORMS = "⺀-⿟豈-﫿"
+_FORMS = "⺀-⿟豈-﫿\U0002f800-\U0002fa1f"
 _MARKS = "̀-゙ͯ-゜"
 #: Twins of Latin letters, by script: letters of the first string look like those of the second.
 _TWINS = (
