@@ -131,17 +131,17 @@ def near_representatives(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     reps = signed.groupBy("table_name", "text_key").agg(F.min("rec_id").alias("rep"))
     members = signed.select("table_name", "rec_id", "text_key").join(reps, ["table_name", "text_key"]).select("table_name", "rec_id", "rep")
     firsts = signed.join(reps.select("table_name", F.col("rep").alias("rec_id")), ["table_name", "rec_id"], "left_semi")
-    # Bands carry their table in the hash, so the widest join has one number for its key.
-    keys = firsts.select(F.col("rec_id").alias("r"), F.col("table_name").alias("t"), F.explode("bands").alias("band"))
-    a, b = keys.alias("a"), keys.select("r", "band").alias("b")
-    same = (F.col("a.band") == F.col("b.band")) & (F.col("a.r") < F.col("b.r"))
-    found = a.join(b, same).select(F.col("a.t").alias("table_name"), F.col("a.r").alias("rep_a"), F.col("b.r").alias("rep_b")).distinct()
-    fps = firsts.select("table_name", "rec_id", "fp", "pivots")
+    # Bands carry their table in the hash and rows a number, so the widest join moves two numbers a row, once for both sides.
+    uid = F.xxhash64("table_name", "rec_id")
+    keys = firsts.select(uid.alias("u"), F.explode("bands").alias("band"))
+    a, b = keys.alias("a"), keys.alias("b")
+    found = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.u") < F.col("b.u"))).select(F.col("a.u").alias("u_a"), F.col("b.u").alias("u_b")).distinct()
+    fps = firsts.select(uid.alias("u"), "table_name", "rec_id", "fp", "pivots")
 
-    def side(df: DataFrame, s: str) -> DataFrame:
-        return df.join(fps.select("table_name", F.col("rec_id").alias(f"rep_{s}"), F.col("fp").alias(f"fp_{s}"), F.col("pivots").alias(f"pivots_{s}")), ["table_name", f"rep_{s}"])
+    def side(df: DataFrame, s: str, *more: str) -> DataFrame:
+        return df.join(fps.select(F.col("u").alias(f"u_{s}"), *more, F.col("rec_id").alias(f"rep_{s}"), F.col("fp").alias(f"fp_{s}"), F.col("pivots").alias(f"pivots_{s}")), f"u_{s}")
 
-    both = side(side(found, "a"), "b")
+    both = side(side(found, "a", "table_name"), "b")
     apart = F.array_max(F.zip_with("pivots_a", "pivots_b", lambda x, y: F.abs(x - y)))
     words = [F.conv(F.hex(F.substring(f"fp_{s}", 1 + 8 * k, 8)), 16, -10).cast("long") for s in "ab" for k in range(BINS // 64)]
     differ = sum((F.bit_count(words[k].bitwiseXOR(words[k + BINS // 64])) for k in range(1, BINS // 64)), F.bit_count(words[0].bitwiseXOR(words[BINS // 64])))
