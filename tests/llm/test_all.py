@@ -289,3 +289,18 @@ def test_cut_writes_to_the_shared_folder(spark, tmp_path):
     df = common.cut(spark.range(3))
     assert df.count() == 3
     assert "Range" not in df._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_same_as_sql(spark, name):
+    import glob
+    import os
+
+    import duckdb
+
+    folder = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for f in glob.glob(f"{folder}/*.parquet"):
+        con.execute(f"create view {os.path.basename(f)[:-8]} as select * from '{f}'")
+    own = sorted(tuple(r) for r in registry.queries()[name](spark, folder).collect())
+    assert own == sorted(con.execute(registry.oracle_sql()[name]).fetchall())
