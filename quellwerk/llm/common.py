@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -19,10 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Where the session names none (tests, one machine) a temporary folder is set once.
+    Where a session on one machine names none, as in tests, a temporary folder is set once; a cluster has to name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_quellwerk_dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="quellwerk-")
         spark._quellwerk_dir = base
     return base
@@ -34,10 +35,7 @@ def cut(df: DataFrame) -> DataFrame:
     The written files survive the loss of any executor; nothing is kept in executor memory.
     """
     spark = df.sparkSession
-    base = shared_dir(spark)
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(base)
-    path = os.path.join(base, f"quellwerk-cut-{uuid.uuid4().hex}") if "://" not in base else f"{base.rstrip('/')}/quellwerk-cut-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/quellwerk-cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
