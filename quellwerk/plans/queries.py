@@ -120,6 +120,12 @@ def _(spark, d):
     return docs(spark, d).groupBy(F.coalesce("quality_tier", F.lit("(none)")).alias("quality_tier")).agg(F.count("*").alias("n"))
 
 
+@query("SRT4_SNK12_segment_order", f"SELECT segment, row_number() OVER (ORDER BY median({_N}), segment) AS position, median({_N})::DOUBLE AS median FROM {_MELT} GROUP BY segment")
+def _(spark, d):
+    s = long(spark, d).groupBy("segment").agg(F.median(segments.chars(F.col("text"))).cast("double").alias("median"))
+    return s.select("segment", F.row_number().over(Window.orderBy("median", "segment")).alias("position"), "median")
+
+
 @query("FIL8_non_empty_segments", f"SELECT rec_id, segment, length(text)::BIGINT AS n_chars FROM {_MELT} WHERE length(text)>0")
 def _(spark, d):
     return long(spark, d).where(F.length("text") > 0).select("rec_id", "segment", F.length("text").cast("bigint").alias("n_chars"))
@@ -543,7 +549,7 @@ def _(spark, d):
     return x.where(F.col("document_type").isin("120", "140") & F.coalesce(F.col("metadata")["withdrawalStatus"], F.lit("0")).isin("0", "")).select("rec_id", "source_id")
 
 
-@query("FIL2_JOIN6_resume", "SELECT rec_id, source_id FROM document_record r WHERE NOT EXISTS (SELECT 1 FROM parsed_document p WHERE p.doc_id=r.source_id AND p.parsed)")
+@query("FIL2_3_JOIN6_resume", "SELECT rec_id, source_id FROM document_record r WHERE NOT EXISTS (SELECT 1 FROM parsed_document p WHERE p.doc_id=r.source_id AND p.parsed)")
 def _(spark, d):
     done = read(spark, d, "parsed_document", "doc_id", "parsed").where("parsed").select(F.col("doc_id").alias("source_id"))
     return files.resume(read(spark, d, "document_record", "rec_id", "source_id"), done)
@@ -742,13 +748,13 @@ def _(spark, d):
     return generation.augment(x, "blurb", F.concat(F.lit("Describe "), "c_name"))
 
 
-@query("GEN16_20_documents")
+@query("GEN16_20_WIN3_documents")
 def _(spark, d):
     seeds = read(spark, d, "customer", "c_custkey", "c_name").select((F.col("c_custkey") - 1).alias("id"), "c_name")
     return generation.prior_context(generation.documents(spark, 500, [{"name": "overview"}, {"name": "risks", "kind": "list", "min": 2, "max": 4}, {"name": "outlook"}], seeds))
 
 
-@query("GEN22_mixed_dataset")
+@query("GEN21_22_SET1_mixed_dataset")
 def _(spark, d):
     base = docs(spark, d).select((F.col("rec_id") - 1).alias("n"), F.col("document_content").alias("text"))
     return generation.mixed_dataset({t: base for t, *_ in P.TIERS}, 400)
@@ -780,7 +786,7 @@ def _(spark, d):
     return generation.affected(read(spark, d, "synth_document", "rec_id"), 0.3, key="rec_id")
 
 
-@query("INJ2_weighted_flaw", f"SELECT rec_id, CASE WHEN u<0.2/0.66 THEN 'empty_section' WHEN u<0.2/0.66+0.1/0.66 THEN 'generic_language' WHEN u<0.2/0.66+0.1/0.66+0.3/0.66 THEN 'mojibake' ELSE 'reference_date' END AS flaw FROM (SELECT rec_id, {_u(3, 'rec_id::VARCHAR')} AS u FROM synth_document)")
+@query("INJ2_7_weighted_flaw", f"SELECT rec_id, CASE WHEN u<0.2/0.66 THEN 'empty_section' WHEN u<0.2/0.66+0.1/0.66 THEN 'generic_language' WHEN u<0.2/0.66+0.1/0.66+0.3/0.66 THEN 'mojibake' ELSE 'reference_date' END AS flaw FROM (SELECT rec_id, {_u(3, 'rec_id::VARCHAR')} AS u FROM synth_document)")
 def _(spark, d):
     w = [("empty_section", 0.2), ("generic_language", 0.1), ("mojibake", 0.3), ("reference_date", 0.06)]
     return read(spark, d, "synth_document", "rec_id").select("rec_id", generation.weighted_flaw(text.uniform(3, F.col("rec_id")), w).alias("flaw"))
@@ -794,7 +800,7 @@ def _(spark, d):
     return x.select("rec_id", sub.alias("subtype"), generation.mutate(F.col("document_content"), sub, "ja", 22, F.col("rec_id")).alias("mutated"))
 
 
-@query("INJ5_inject_anomalies")
+@query("INJ5_6_inject_anomalies")
 def _(spark, d):
     return generation.inject_anomalies(docs(spark, d).withColumn("document_id", F.col("rec_id").cast("string")), "garbled_characters", 0.1).select("document_id", "injected_flaw", *_SEGS)
 
