@@ -8,6 +8,7 @@ import os
 import duckdb
 import pytest
 
+from quellwerk.plans import roundtrips  # noqa: F401
 from quellwerk.plans.queries import QUERIES, SQL
 
 
