@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quellwerk.functions.patterns import LEGAL_FORMS
@@ -108,9 +108,12 @@ def quality_score(checks: DataFrame, threshold: float = 0.8) -> DataFrame:
     return checks.agg(F.count("*").alias("n_checks"), _count(F.col("passed")).alias("n_passed"), F.round(score, 4).alias("score"), (score >= threshold).alias("passed"))
 
 
-def profile(df: DataFrame) -> DataFrame:
+def profile(df: DataFrame, exact_median: bool = True) -> DataFrame:
     """AGG10: one row a column: nulls, distinct values, moments of numbers, length of strings, top five values.
 
+    The exact median holds the counts of a column's distinct values in one task; for columns with very many
+    of them ``exact_median=False`` takes a quantile sketch instead.
+
     One aggregation for all moments; values are counted by one more over (column, value) pairs, so that
     no column needs a pass of its own and no distinct set is held in a task.
     """
@@ -124,16 +127,14 @@ def profile(df: DataFrame) -> DataFrame:
         v = x.cast("double") if c in numeric else None
         return F.struct(
             F.lit(c).alias("column"), F.lit(dict(df.dtypes)[c]).alias("dtype"), F.count_if(x.isNull()).alias("null_count"), F.round(F.avg(x.isNull().cast("double")), 4).alias("null_ratio"),
-            *[(F.round(f(v), 4) if v is not None else null).alias(n) for n, f in (("mean", F.avg), ("std", F.stddev), ("min", F.min), ("max", F.max), ("median", F.median))],
+            *[(F.round(f(v), 4) if v is not None else null).alias(n) for n, f in (("mean", F.avg), ("std", F.stddev), ("min", F.min), ("max", F.max), ("median", F.median if exact_median else lambda x: F.percentile_approx(x, 0.5, 10_000)))],
             (F.round(F.avg(F.length(x)), 1) if c in strings else null).alias("avg_length"),
         )
 
     moments = df.agg(F.array(*map(stats, names)).alias("s")).select(F.inline("s"))
     pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in names])).alias("p")).select("p.*").where("value is not null")
     counted = pairs.groupBy("column", "value").agg(F.count("*").alias("n"))
-    top = F.transform(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "value"))), 1, 5), lambda x: F.concat(x["value"], F.lit("="), (-x["k"]).cast("string")))
-    from pyspark.sql import Window
-
+    top = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "value"))), lambda x: F.concat(x["value"], F.lit("="), (-x["k"]).cast("string")))
     best = counted.withColumn("rank", F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value")))
     best = best.where("rank <= 5").groupBy("column").agg(top.alias("top_values"))
     unique = counted.groupBy("column").agg(F.count("*").alias("unique_count"))
