@@ -38,6 +38,8 @@ LONG, BINS, BANDS, ROWS = 12, 256, 96, 4
 RADIUS = 96
 #: Reference fingerprints, the first of the data by hash.
 PIVOTS = 64
+#: Up to so many pairs (ids of about 40 bytes) are broadcast to pick their texts; more are joined by a shuffle.
+FEW_PAIRS = 500_000
 #: Copies of a text beyond which the pairs of its group are made by several tasks.
 LARGE_GROUP, SALTS = 2_000, 16
 
@@ -139,10 +141,10 @@ def near_representatives(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.u") < F.col("b.u"))).select(F.col("a.u").alias("u_a"), F.col("b.u").alias("u_b")).distinct()
     fps = signed.select(uid.alias("u"), "table_name", "rec_id", "fp", "pivots")
 
-    def side(df: DataFrame, s: str, *more: str) -> DataFrame:
-        return df.join(fps.select(F.col("u").alias(f"u_{s}"), *more, F.col("rec_id").alias(f"rep_{s}"), F.col("fp").alias(f"fp_{s}"), F.col("pivots").alias(f"pivots_{s}")), f"u_{s}")
+    def side(df: DataFrame, s: str) -> DataFrame:
+        return df.join(fps.select(F.col("u").alias(f"u_{s}"), F.col("table_name").alias(f"table_{s}"), F.col("rec_id").alias(f"rep_{s}"), F.col("fp").alias(f"fp_{s}"), F.col("pivots").alias(f"pivots_{s}")), f"u_{s}")
 
-    both = side(side(found, "a", "table_name"), "b")
+    both = side(side(found, "a"), "b").where("table_a = table_b").withColumnRenamed("table_a", "table_name")
     apart = F.array_max(F.zip_with("pivots_a", "pivots_b", lambda x, y: F.abs(x - y)))
     words = [F.conv(F.hex(F.substring(f"fp_{s}", 1 + 8 * k, 8)), 16, -10).cast("long") for s in "ab" for k in range(BINS // 64)]
     differ = sum((F.bit_count(words[k].bitwiseXOR(words[k + BINS // 64])) for k in range(1, BINS // 64)), F.bit_count(words[0].bitwiseXOR(words[BINS // 64])))
@@ -153,7 +155,9 @@ def near_representatives(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs whose five-character sets are alike enough. Only texts of pairs are carried."""
     ids = pairs.select("table_name", F.col("rep_a").alias("rec_id")).union(pairs.select("table_name", "rep_b")).distinct()
-    own = texts.join(ids, ["table_name", "rec_id"], "left_semi")
+    # The texts themselves are moved only if they stand in a pair; a few pairs' ids go to the texts, not the texts to them.
+    small = pairs.limit(FEW_PAIRS + 1).count() <= FEW_PAIRS
+    own = texts.join(F.broadcast(ids) if small else ids, ["table_name", "rec_id"], "left_semi")
     full = pairs.join(own.select("table_name", F.col("rec_id").alias("rep_a"), F.col("text").alias("text_a")), ["table_name", "rep_a"])
     full = full.join(own.select("table_name", F.col("rec_id").alias("rep_b"), F.col("text").alias("text_b")), ["table_name", "rep_b"])
 
