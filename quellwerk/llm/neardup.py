@@ -38,7 +38,7 @@ LONG, BINS, BANDS, ROWS = 12, 256, 96, 4
 RADIUS = 96
 #: Reference fingerprints, the first of the data by hash.
 PIVOTS = 64
-#: Up to so many pairs (ids of about 40 bytes) are broadcast to pick their texts; more are joined by a shuffle.
+#: Up to so many pairs or copies (ids of about 40 bytes) are broadcast to pick texts; more are joined by a shuffle.
 FEW_PAIRS = 500_000
 #: Copies of a text beyond which the pairs of its group are made by several tasks.
 LARGE_GROUP, SALTS = 2_000, 16
@@ -91,10 +91,11 @@ def fingerprint(sig: np.ndarray) -> np.ndarray:
 
 
 def distances(fp: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(pivots ^ fp[None, :]).sum(1).astype(np.int32)
+    """Hamming distances less 128, a byte each."""
+    return (np.minimum(np.bitwise_count(pivots ^ fp[None, :]).sum(1), 255) - 128).astype(np.int8)
 
 
-SIGNED = "table_name string, rec_id long, text_key binary, bands array<long>, fp binary, pivots array<int>"
+SIGNED = "table_name string, rec_id long, text_key binary, bands array<long>, fp binary, pivots array<tinyint>"
 
 
 def sign(texts: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -132,8 +133,11 @@ def near_representatives(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members with their representative, pairs of representatives that are alike)."""
     signed = cut(sign(texts, choose_pivots(texts)))
     reps = signed.groupBy("table_name", "text_key").agg(F.min("rec_id").alias("rep"))
-    members = signed.select("table_name", "rec_id", "text_key").join(reps, ["table_name", "text_key"]).select("table_name", "rec_id", "rep")
-    firsts = signed.join(reps.select("table_name", F.col("rep").alias("rec_id")), ["table_name", "rec_id"], "left_semi")
+    members = cut(signed.select("table_name", "rec_id", "text_key").join(reps, ["table_name", "text_key"]).select("table_name", "rec_id", "rep"))
+    # Copies leave the signed rows: a few by a broadcast of their ids, so that signatures aren't moved for it.
+    copies = members.where("rec_id != rep").select("table_name", "rec_id")
+    few = copies.limit(FEW_PAIRS + 1).count() <= FEW_PAIRS
+    firsts = signed.join(F.broadcast(copies) if few else copies, ["table_name", "rec_id"], "left_anti")
     # Bands carry their table in the hash and rows a number, so the widest join moves two numbers a row, once for both sides.
     uid = F.xxhash64("table_name", "rec_id")
     keys = firsts.select(uid.alias("u"), F.explode("bands").alias("band"))
@@ -145,7 +149,7 @@ def near_representatives(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
         return df.join(fps.select(F.col("u").alias(f"u_{s}"), F.col("table_name").alias(f"table_{s}"), F.col("rec_id").alias(f"rep_{s}"), F.col("fp").alias(f"fp_{s}"), F.col("pivots").alias(f"pivots_{s}")), f"u_{s}")
 
     both = side(side(found, "a"), "b").where("table_a = table_b").withColumnRenamed("table_a", "table_name")
-    apart = F.array_max(F.zip_with("pivots_a", "pivots_b", lambda x, y: F.abs(x - y)))
+    apart = F.array_max(F.zip_with("pivots_a", "pivots_b", lambda x, y: F.abs(x.cast("int") - y.cast("int"))))
     words = [F.conv(F.hex(F.substring(f"fp_{s}", 1 + 8 * k, 8)), 16, -10).cast("long") for s in "ab" for k in range(BINS // 64)]
     differ = sum((F.bit_count(words[k].bitwiseXOR(words[k + BINS // 64])) for k in range(1, BINS // 64)), F.bit_count(words[0].bitwiseXOR(words[BINS // 64])))
     near = cut(both.where(apart <= RADIUS).where(differ <= RADIUS).select("table_name", "rep_a", "rep_b"))

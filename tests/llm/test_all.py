@@ -94,7 +94,9 @@ def test_viterbi_is_the_same_alone_and_in_a_block(model):
 # ---- 3 ----
 
 
-def test_pairs_against_brute_force(spark):
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_pairs_against_brute_force(spark, monkeypatch, few):
+    monkeypatch.setattr(neardup, "FEW_PAIRS", few)
     r = random.Random(1)
     base = [neardup.normal(japanese(k, 30)) for k in range(25)]
     texts = list(base)
