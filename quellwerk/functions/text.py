@@ -89,14 +89,21 @@ def first_matches(text: Column, rules: list[str], flags: str = "") -> Column:
 
     A pattern is tried only where its literal start stands in the text, which is a plain search.
     """
-    low = F.lower(text) if "i" in flags else text
+    fold = "i" in flags
 
-    def first(p: str) -> Column:
+    def first(t: Column, low: Column, p: str) -> Column:
         start = re.match(r"[^(\[?*+\\|.]*", p)[0]
         start = start[:-1] if p[len(start) : len(start) + 1] == "?" else start
-        return F.when(low.contains(start.lower() if "i" in flags else start), F.regexp_extract(text, flags + p, 0)).otherwise("")
-
-    return F.array_sort(F.array_distinct(F.filter(F.array(*map(first, rules)), lambda x: x != "")))
+        start = start.lower() if fold else start
+        # The match begins where its literal start does: only what follows is given to the pattern. (Lower case can
+        # change a text's length in rare scripts; such texts are searched whole.)
+        near = F.when(F.length(low) == F.length(t), F.substring(t, F.instr(low, start), F.lit(len(p) + 40))).otherwise(t)
+        return F.when(low.contains(start), F.regexp_extract(near, flags + p, 0)).otherwise("")
+
+    # Bound by a lambda, the lower-case text is made once and not for every pattern.
+    both = F.array(F.struct(text.alias("t"), (F.lower(text) if fold else text).alias("low")))
+    found = F.element_at(F.transform(both, lambda z: F.array(*[first(z["t"], z["low"], p) for p in rules])), 1)
+    return F.array_sort(F.array_distinct(F.filter(found, lambda x: x != "")))
 
 
 def is_japanese(text: Column) -> Column:
