@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Parquet table, projected at the scan so that column pruning reaches the files."""
+def table(spark: SparkSession, sf_dir: str, name: str, *cols: str, spread: bool = False) -> DataFrame:
+    """Parquet table, projected at the scan so that column pruning reaches the files.
+
+    ``spread``: a table of fewer than half as many scan partitions as there are cores, such as one small
+    file, is dealt to all cores by its first column. A table of many partitions is never moved.
+    """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*cols) if cols else df
+    df = df.select(*cols) if cols else df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, cols[0]) if spread and 2 * df.rdd.getNumPartitions() < cores else df
 
 
 def shared_dir(spark: SparkSession) -> str:

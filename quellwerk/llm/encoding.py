@@ -64,16 +64,17 @@ def _class_table() -> np.ndarray:
     return t
 
 
-_C1252 = {bytes([b]).decode("cp1252", "ignore"): b for b in range(0x80, 0xA0)}
+_C1252 = {b: c for b in range(0x80, 0xA0) if (c := bytes([b]).decode("cp1252", "ignore"))}
+_TO_C1252 = {ord(c): b for b, c in _C1252.items()}
 
 
 def _western_bytes(s: str) -> bytes:
     """Bytes of a text read as Windows-1252 or Latin-1; characters of neither are dropped."""
-    return bytes(_C1252.get(c, ord(c)) for c in s if c in _C1252 or ord(c) < 256)
+    return s.translate(_TO_C1252).encode("latin-1", "ignore")
 
 
 def _read_western(b: bytes) -> str:
-    return "".join(bytes([x]).decode("cp1252", "ignore") or chr(x) for x in b)
+    return b.decode("latin-1").translate(_C1252)
 
 
 def _iso(s: str) -> str:
@@ -254,11 +255,11 @@ def texts(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     parts = []
     for name in names:
         if name == "http_response":
-            raw = table(spark, sf_dir, name, "rec_id", "content").where("content is not null and not startswith(content, X'25504446')")
+            raw = table(spark, sf_dir, name, "rec_id", "content", spread=True).where("content is not null and not startswith(content, X'25504446')")
             text = F.regexp_replace(F.make_valid_utf8(F.col("content").cast("string")), "^\ufeff", "")
             raw = raw.withColumn("raw", F.when(~F.is_valid_utf8(F.col("content").cast("string")), F.col("content")))
         else:
-            raw = table(spark, sf_dir, name, "rec_id", "full_text").withColumn("raw", F.lit(None).cast("binary"))
+            raw = table(spark, sf_dir, name, "rec_id", "full_text", spread=True).withColumn("raw", F.lit(None).cast("binary"))
             text = F.col("full_text")
         parts.append(raw.select(F.lit(name).alias("table_name"), "rec_id", text.alias("text"), "raw"))
     out = parts[0]

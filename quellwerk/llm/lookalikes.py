@@ -193,7 +193,7 @@ RESULT = "table_name string, field_name string, rec_id long, canonical string, k
 
 
 def values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jp, rec = table(spark, sf_dir, "jp_case_detail", "rec_id", "full_text", "case_title"), table(spark, sf_dir, "document_record", "rec_id", "filer_name")
+    jp, rec = table(spark, sf_dir, "jp_case_detail", "rec_id", "full_text", "case_title", spread=True), table(spark, sf_dir, "document_record", "rec_id", "filer_name", spread=True)
     parts = [
         df.select(F.lit(t).alias("table_name"), F.lit(c).alias("field_name"), "rec_id", F.col(c).alias("value"))
         for df, t, c in ((jp, "jp_case_detail", "full_text"), (jp, "jp_case_detail", "case_title"), (rec, "document_record", "filer_name"))

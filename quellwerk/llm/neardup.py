@@ -124,8 +124,8 @@ def choose_pivots(texts: DataFrame) -> np.ndarray:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jp = table(spark, sf_dir, "jp_case_detail", "rec_id", "full_text").select(F.lit("jp_case_detail").alias("table_name"), "rec_id", F.col("full_text").alias("text"))
-    synth = table(spark, sf_dir, "synth_document", "rec_id", "document_content").select(F.lit("synth_document").alias("table_name"), "rec_id", F.col("document_content").alias("text"))
+    jp = table(spark, sf_dir, "jp_case_detail", "rec_id", "full_text", spread=True).select(F.lit("jp_case_detail").alias("table_name"), "rec_id", F.col("full_text").alias("text"))
+    synth = table(spark, sf_dir, "synth_document", "rec_id", "document_content", spread=True).select(F.lit("synth_document").alias("table_name"), "rec_id", F.col("document_content").alias("text"))
     return jp.unionByName(synth).where(F.length("text") >= LEAST)
 
 

@@ -128,7 +128,7 @@ def pack(sizes: DataFrame, capacity: int = CAPACITY, shard_documents: int = SHAR
 
 
 def p6_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(token_counts(table(spark, sf_dir, "documents", "doc_id", "text")))
+    return pack(token_counts(table(spark, sf_dir, "documents", "doc_id", "text", spread=True)))
 
 
 def p6_utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:

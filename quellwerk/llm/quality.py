@@ -232,7 +232,7 @@ def measure(docs: DataFrame, words: dict[str, frozenset]) -> DataFrame:
 
 
 def p8_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return measure(table(spark, sf_dir, "documents", "doc_id", "text"), common_words(spark, sf_dir))
+    return measure(table(spark, sf_dir, "documents", "doc_id", "text", spread=True), common_words(spark, sf_dir))
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -356,7 +356,7 @@ class Splitter:
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = None
     for name in ("jp_case_detail", "de_case_detail", "parsed_document"):
-        df = table(spark, sf_dir, name, "rec_id", "full_text").select(F.lit(name).alias("table_name"), "rec_id", F.col("full_text").alias("text"))
+        df = table(spark, sf_dir, name, "rec_id", "full_text", spread=True).select(F.lit(name).alias("table_name"), "rec_id", F.col("full_text").alias("text"))
         parts = df if parts is None else parts.unionByName(df)
     return parts.where("text is not null and text != ''")
 

@@ -145,8 +145,8 @@ def detect(texts: DataFrame, model: dict) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
     """(table_name, rec_id, source, text) of both tables, and the model that repairs the Japanese ones."""
-    de = table(spark, sf_dir, "de_case_detail", "rec_id", "source", "full_text").select(F.lit("de_case_detail").alias("table_name"), "rec_id", "source", F.col("full_text").alias("text"))
-    jp = table(spark, sf_dir, "jp_case_detail", "rec_id", "url", "full_text").select(F.lit("jp_case_detail").alias("table_name"), "rec_id", F.try_parse_url("url", F.lit("HOST")).alias("source"), F.col("full_text").alias("text"))
+    de = table(spark, sf_dir, "de_case_detail", "rec_id", "source", "full_text", spread=True).select(F.lit("de_case_detail").alias("table_name"), "rec_id", "source", F.col("full_text").alias("text"))
+    jp = table(spark, sf_dir, "jp_case_detail", "rec_id", "url", "full_text", spread=True).select(F.lit("jp_case_detail").alias("table_name"), "rec_id", F.try_parse_url("url", F.lit("HOST")).alias("source"), F.col("full_text").alias("text"))
     both = de.unionByName(jp).where("text is not null and text != ''")
     return both, encoding.fit(both, ("jp_case_detail",))
 
