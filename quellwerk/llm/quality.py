@@ -1,8 +1,9 @@
 """Problem 8: text statistics per document, and which documents are not natural prose.
 
 Lines that belong to a table or list are found by structure: delimiters that stand as often and,
-in fixed columns, at the same place in line after line; indentation and markers that return with a
-period; line lengths that hardly change from one line to the next (autocorrelation). What is left is
+in fixed columns, at the same place in line after line; and, in runs of lines without any sentence end
+that don't go on from each other, indentation and markers that return with a period, line lengths that
+do (autocorrelation), or many digits and symbols. What is left is
 read as sentences; a sentence runs if it has words enough, common words of its language enough (ja:
 hiragana) and few symbols inside words. A document is prose if running sentences hold most of its
 characters; a sentence that comes back again and again holds none.
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,10 +25,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quellwerk.llm.common import table
 
-#: A document is prose from this share of its characters in running sentences on.
-PROSE_SHARE = 0.42
+#: A document is prose if not most of its characters stand outside running sentences.
+PROSE_SHARE = 0.5
 #: So often may a sentence stand in a text before further repeats stop counting.
 REPEATS = 2
+#: Lines without a sentence end that follow each other are entries from so many on, if no larger share of them begins
+#: in lower case, and their shapes agree with a period or so large a share of their characters are digits and symbols.
+ENTRIES, GOES_ON, PERIODIC, ODD_SHARE = 5, 0.2, 0.8, 0.3
+#: Lags, in lines, of a period.
+PERIODS = (1, 2, 3)
 #: The table of common words is a fixed reference list; more rows than this are refused.
 MOST_COMMON_WORDS = 10_000
 
@@ -90,23 +96,76 @@ def aligned(lines: list[str]) -> np.ndarray:
     return hit
 
 
+def _shapes(lines: list[str]) -> list[str]:
+    """The marker of each line, digits apart, or else its indentation."""
+    return [re.sub(r"\d+", "0", m[0]) if (m := _MARKER.match(x)) else " " * (len(x) - len(x.lstrip())) for x in lines]
+
+
 def periodicity(lines: list[str]) -> float:
     """Share of lines that take up the indentation or marker of the line one, two or three before: the best of the periods."""
-    shape = [re.sub(r"\d+", "0", m[0]) if (m := _MARKER.match(x)) else " " * (len(x) - len(x.lstrip())) for x in lines]
+    shape = _shapes(lines)
     marked = [s != "" for s in shape]
     best = 0.0
-    for p in (1, 2, 3):
+    for p in PERIODS:
         if len(shape) > p:
             best = max(best, sum(a == b and m for a, b, m in zip(shape[p:], shape, marked[p:])) / (len(shape) - p))
     return best
 
 
 def length_steadiness(lines: list[str]) -> float:
-    """Autocorrelation of line lengths about zero at lag one, less what random lengths would give; near 1 for columns and logs."""
-    x = np.array([len(v) for v in lines], float)
-    if len(x) < 4 or not x.any():
+    """Autocorrelation of line lengths about their mean, the best of the periods; 1 if all are of one length, 0 for fewer than four lines."""
+    x = np.array([len(v.rstrip()) for v in lines], float)
+    if len(x) < 4:
         return 0.0
-    return float(max(0.0, 1 - np.abs(np.diff(x)).mean() / max(1.0, x.mean())))
+    x -= x.mean()
+    var = float(x @ x)
+    if var < 1e-9:
+        return 1.0
+    return max(0.0, *(float(x[p:] @ x[:-p]) / var for p in PERIODS))
+
+
+def _wrapped(run: list[str]) -> bool:
+    """Whether the lines are broken at a width: the first word of the next line had no room on nearly any of them."""
+    width = max(len(x.rstrip()) for x in run)
+    full = sum(len(a.rstrip()) + 1 + len((b.split()[0] if not _JA.match(b.lstrip()) else b.lstrip()[:2])) > width for a, b in zip(run, run[1:]))
+    return full >= PERIODIC * (len(run) - 1)
+
+
+def _are_entries(run: list[str]) -> bool:
+    """Whether lines without a sentence end are entries of a list or log, by period, length or ratios."""
+    n = len(run)
+    if sum(x.lstrip()[:1].islower() for x in run[1:]) > GOES_ON * (n - 1):
+        return False
+    whole = "".join("".join(run).split())
+    if sum(not c.isalpha() for c in whole) >= ODD_SHARE * len(whole):
+        return True
+    wrapped = _wrapped(run)
+    if not wrapped:
+        shape = _shapes(run)
+        for p in PERIODS:
+            if n >= ENTRIES + p - 1 and any(shape[-p:]) and sum(map(str.__eq__, shape[p:], shape)) >= PERIODIC * (n - p):
+                return True
+    # Lengths of unrelated lines agree by chance within two standard errors; Japanese prose broken at a width has one length.
+    return not (wrapped and _JA.search(whole)) and length_steadiness(run) >= max(0.5, 2 / n**0.5)
+
+
+def entries(lines: list[str], taken: np.ndarray, ends: re.Pattern) -> np.ndarray:
+    """Lines of runs that are entries of a list or log; ``taken`` lines belong to a table or list already."""
+    hit = np.zeros(len(lines), bool)
+
+    def runs(stops: Iterable[bool], start: int) -> Iterator[tuple[int, int]]:
+        for i, stop in enumerate((*stops, True), start):
+            if stop:
+                if i - start >= ENTRIES:
+                    yield start, i
+                start = i + 1
+
+    # The ends of lines are cheap to see; what stands inside them is looked at only in runs that are long enough.
+    for a, b in runs((t or _ends(x) for t, x in zip(taken.tolist(), lines)), 0):
+        for c, d in runs((ends.search(x.strip()) is not None for x in lines[a:b]), a):
+            if _are_entries(lines[c:d]):
+                hit[c:d] = True
+    return hit
 
 
 def _runs(sentence: str, words: dict[str, frozenset]) -> bool:
@@ -135,6 +194,23 @@ def _runs(sentence: str, words: dict[str, frozenset]) -> bool:
     return odd <= 0.25 * len(tokens)
 
 
+def _goes_on(lines: list[str], i: int, body: str, words: dict[str, frozenset]) -> bool:
+    """Whether an item's sentence runs on over the next lines, up to its end."""
+    if _ends(body) or i + 1 == len(lines):
+        return False
+    ja = bool(_JA.search(body))
+    # A short item followed by a new sentence is an item; one broken at a width, or within a clause, goes on.
+    if not (lines[i + 1].lstrip()[:1].islower() or lines[i + 1].lstrip()[:1].isdigit() or len(lines[i]) >= (20 if ja else 40)):
+        return False
+    for x in lines[i + 1 : i + 5]:
+        if (m := _MARKER.match(x)) and m[0].strip():
+            return False
+        body += ("" if ja else " ") + x.strip()
+        if _ends(x):
+            return _runs(body, words)
+    return False
+
+
 def prose_share(text: str, words: dict[str, frozenset]) -> tuple[float, float, float]:
     """(share of the characters in running sentences, share of the lines in tables and lists, of aligned lines)."""
     lines = [x for x in text.split("\n") if x.strip()]
@@ -151,7 +227,7 @@ def prose_share(text: str, words: dict[str, frozenset]) -> tuple[float, float, f
             structured[i] = True
         elif item:
             body = x[item.end() :]
-            structured[i] = not ((len(body) > 60 or _ends(body)) and _runs(body, words))
+            structured[i] = not ((len(body) > 60 or _ends(body)) and _runs(body, words)) and not _goes_on(lines, i, body, words)
         elif len(x) <= 90 and _PAIR.match(x):
             structured[i] = not _runs(x, words)
     # Short lines without sentence marks one after the other: cells or names line by line.
@@ -159,10 +235,12 @@ def prose_share(text: str, words: dict[str, frozenset]) -> tuple[float, float, f
     for i in range(len(lines)):
         if plain[i] and sum(plain[max(0, i - 2) : i + 3]) >= 4:
             structured[i] = True
-    seen: Counter = Counter()
-    mass, run = 0, []
     ja = bool(_JA.search(text))
     ends = _END_JA if ja else _END
+    if len(lines) - structured.sum() >= ENTRIES:
+        structured |= entries(lines, structured, ends)
+    seen: Counter = Counter()
+    mass, run = 0, []
 
     def flush() -> int:
         got, joined = 0, ""

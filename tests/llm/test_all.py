@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 from itertools import combinations
 
 import pytest
@@ -281,6 +282,39 @@ def test_prose(text, prose):
     assert quality.statistics(text, WORDS)[-1] is prose
 
 
+_NAMES = ["Kessel", "Pumpe im Nebenraum des Kellers", "Zaun", "Dach der alten Scheune am Fluss", "Ofen"]
+
+
+@pytest.mark.parametrize(
+    "text,prose",
+    [
+        # Indented entries, without a marker, of more than 30 characters and with common words.
+        ("\n".join(f"    {_NAMES[k % 5]} und die Wartung der Anlage hat Vorrang" for k in range(12)), False),
+        # The same where each second line is indented.
+        ("\n".join(f"{'    ' * (k % 2)}{_NAMES[k % 5]} und die Wartung der Anlage hat Vorrang" for k in range(12)), False),
+        # A log without indentation: the lengths return with a period.
+        ("\n".join(["Worker hat den Auftrag der Warteschlange ohne Fehler ausgeführt", "Speicher hat die Seiten geleert und den Rest behalten"][k % 2] + " " + "abcdefghijkl"[k] for k in range(12)), False),
+        # Indented prose, and prose broken at a width or anywhere, goes on from line to line.
+        ("\n".join("    " + x for x in textwrap.wrap("Die Vermieterin hat den Mangel des Hauses nicht beseitigt und die Miete ist der Klägerin zu hoch. " * 2, 60)), True),
+        ("\n".join("    " + x for x in textwrap.wrap("Die Vermieterin hat den Mangel des Hauses der Mieter und der Nachbarn " + "die der Klägerin bei der Suche nach den Akten halfen und " * 9 + "die der Richter hat.", 50)), True),
+        ("\n".join(x[k : k + 31] for x in [japanese(3, 30).split("\n")[-1]] for k in range(0, len(x), 31)), True),
+        # Items that are sentences broken into short lines.
+        ("\n".join(f"{k}. Das Urteil ist gegen die Sicherheit von\n{k}23.806,51 Euro der Klägerin vollstreckbar." for k in (1, 2)), True),
+        # 45 of a hundred characters in sentences are not most.
+        ("Der Kläger hat den Mangel des Hauses angezeigt. " * 2 + "\n" + "\n".join(f"- Miete {k:04}" for k in range(10)), False),
+    ],
+)
+def test_prose_by_periods_and_lengths(text, prose):
+    assert quality.statistics(text, WORDS)[-1] is prose
+
+
+def test_steadiness_is_an_autocorrelation():
+    assert quality.length_steadiness(["a" * 20] * 6) == 1
+    assert quality.length_steadiness(["a" * 20, "a" * 60] * 20) > 0.9
+    r = random.Random(1)
+    assert quality.length_steadiness(["a" * r.randint(50, 70) for _ in range(200)]) < 0.3
+
+
 def test_statistics_of_null(spark):
     df = spark.createDataFrame([(1, None, 5), (2, "", 6)], "doc_id long, text string, n_words int")
     got = {r.doc_id: (r.n_words, r.is_prose) for r in quality.measure(df, WORDS).collect()}
