@@ -8,7 +8,8 @@ final token of every open end. A short block by itself, such as a heading, only
 final token is an unknown proper prefix of known words; and so does a text as long as its
 source's limit, which is the third witness (many texts of a source share that very length).
 
-An end lost to a wrong encoding can't be judged and is no case.
+An end whose own last few characters are lost to a wrong encoding can't be judged and is no case; of
+quotations and brackets, those opened before a lost character may have closed there and aren't counted.
 
 Defined results: null, empty and link-only texts are no cases; repeated rows each count; very long
 texts are taken whole; empty tables give no rows; extra columns are ignored.
@@ -34,10 +35,16 @@ LIMIT_LEAST, LIMIT_SHARE = 20, 0.01
 #: A last block of at most so many characters on one line may be a heading.
 HEADING_MOST = 40
 
+#: In a line with a replacement character, any mark of a wrong encoding among so many last characters means that the
+#: end itself is lost.
+LOST_END = 5
+
 #: Forms of what may stand after the running text.
 _FURNITURE = (
     "gez\\.[^\\n]*|Rechtsmittelbelehrung[^\\n]*|[–—-] [^\\n]* [–—-]|Streitwert:[^\\n]*|Verkündet am [^\\n]*|Ausgefertigt[^\\n]*|Anlagen?:[^\\n]*|\\([^()\\n]*\\)"
     "|以\\s*上|裁判[長官][^\\n]*|（[^（）\\n]*略）|【[^】\\n]*】\\s*https?:[^\\n]*|https?:[^\\s]*|[^\\n]{1,12}裁判所[^\\n]{0,12}第[0-9０-９]+部|別紙[:：][^\\n]*|添付[:：][^\\n]*"
+    # The short label of an annex list, with a lost character.
+    "|[^\\n:：�]{0,6}�[^\\n:：]{0,6}[:：][^\\n]*"
 )
 _AFTER = re.compile(f"\\s*(?:{_FURNITURE})\\s*")
 _MARKS = re.compile("(?:\\s*(?:…|\\.\\.\\.|\\[[^\\[\\]\\n]{1,20}\\]|（続き[^（）\\n]*）))+$")
@@ -64,6 +71,17 @@ def running(text: str) -> str:
     return text[:start] + _MARKS.sub("", _INVISIBLE.sub("", text[start:end]).rstrip()).rstrip()
 
 
+def _open(block: str, opening: str, closing: str) -> bool:
+    """Whether more is opened than closed; after a lost character, of what was opened since."""
+    at = block.rfind("�") + 1
+    if not at:
+        return block.count(opening) > block.count(closing)
+    depth = 0
+    for c in block[at:]:
+        depth = depth + 1 if c == opening else max(0, depth - 1) if c == closing else depth
+    return depth > 0
+
+
 def end_traits(text: str) -> tuple[bool, bool, bool, str] | None:
     """(ended and closed, unclosed, short block, final token) of the running text, or None without any."""
     body = running(text).rstrip()
@@ -71,9 +89,9 @@ def end_traits(text: str) -> tuple[bool, bool, bool, str] | None:
         return None
     block = body[body.rfind("\n\n") + 1 :].strip()
     last = block[block.rfind("\n") + 1 :]
-    lost = "�" in last
+    lost = "�" in last and encoding._SUSPICIOUS_PY.search(last[-LOST_END:]) is not None
     ended = lost or bool(_ENDED.search(last) and not _PENDING.search(last))
-    unclosed = "�" not in block and any(block.count(a) > block.count(b) for a, b in ("„“", "（）", "「」"))
+    unclosed = not lost and any(_open(block, a, b) for a, b in ("„“", "（）", "「」"))
     token = _LAST_TOKEN.search(last)
     return ended and not unclosed, unclosed, len(block) <= HEADING_MOST and "\n" not in block, token[0] if token else ""
 

@@ -53,6 +53,25 @@ def test_cut_records(spark, dirty):
     assert shares["jp_case_detail", "a.example"] == 1
 
 
+@pytest.mark.parametrize(
+    "end,ok,unclosed",
+    [
+        # A character lost long before the end of a last line that breaks off.
+        ("原告は被告に対し、賃料�円の支払を求めたが、被告はこれを拒み、その後も建物を", False, False),
+        # A bracket opened after the lost character, or before it.
+        ("原告は賃�料を求めた。被告は「建物を明け渡した。", False, True),
+        ("原告は「賃�料を求めた。被告は建物を明け渡した。", True, False),
+        ("原告は「賃�料」を求め」た。被告は「建物を」明け渡した。", True, False),
+        # An annex list whose label is garbled.
+        ("原告は賃�料を求めた。\n蛻･邏�: 74, 97, 49, 76, 49, 29, 60, 77, 18, 68, 91, 42, 97, 92, 64", True, False),
+        # The end itself is lost.
+        ("原告は被告に対し、賃料の支払を求め�た�", True, False),
+    ],
+)
+def test_lost_characters_before_the_end(end, ok, unclosed):
+    assert truncation.end_traits("理由\n\n" + end)[:2] == (ok, unclosed)
+
+
 # ---- 2 ----
 
 
