@@ -149,6 +149,20 @@ def test_components(spark):
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 102: 100}
 
 
+def test_scattered_edits_share_a_band():
+    missed = 0
+    for k in range(400):
+        r = random.Random(k)
+        a = [chr(r.randint(0x4E00, 0x8E00)) for _ in range(600)]
+        b = list(a)
+        for i in r.sample(range(600), 22):
+            b[i] = chr(r.randint(0x4E00, 0x8E00))
+        x, y = ({"".join(t[i : i + 5]) for i in range(596)} for t in (a, b))
+        if len(x & y) >= 0.7 * len(x | y):
+            missed += not (neardup.bands(neardup.signature("".join(a))) == neardup.bands(neardup.signature("".join(b)))).any()
+    assert missed == 0
+
+
 # ---- 4 ----
 
 
