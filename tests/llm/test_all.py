@@ -114,9 +114,12 @@ def test_viterbi_is_the_same_alone_and_in_a_block(model):
 # ---- 3 ----
 
 
-@pytest.mark.parametrize("few", [500_000, 0])
-def test_pairs_against_brute_force(spark, monkeypatch, few):
-    monkeypatch.setattr(neardup, "FEW_PAIRS", few)
+@pytest.mark.parametrize("block,sent", [(2_000, 8_000_000), (3, 0)])
+def test_pairs_against_brute_force(spark, monkeypatch, block, sent):
+    """As in use; and with every band of three texts dealt in blocks, and no ids sent to the texts."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "SOUGHT", 1 if sent == 0 else 64)
+    monkeypatch.setattr(common, "MOST_SENT", sent)
     r = random.Random(1)
     base = [neardup.normal(japanese(k, 30)) for k in range(25)]
     texts = list(base)
@@ -127,25 +130,39 @@ def test_pairs_against_brute_force(spark, monkeypatch, few):
                 p = r.randrange(len(x))
                 x[p : p + r.choice([0, 1])] = r.choice(["の", "", "は"])
             texts.append("".join(x))
-    texts += [base[0], base[0], base[1][:499]]
+    texts += [base[0]] * 7 + [base[1]] * 4 + [base[1][:499]]
     df = spark.createDataFrame([("t", k, t) for k, t in enumerate(texts)], "table_name string, rec_id long, text string")
-    got = {(x.rec_id_a, x.rec_id_b): 1 for x in neardup.expand(*neardup.near_representatives(df)).collect()}
+    got = [(x.rec_id_a, x.rec_id_b) for x in neardup.expand(*neardup.near_texts(df)).collect()]
     want = {(a, b) for a, b in combinations(range(len(texts)), 2) if min(len(texts[a]), len(texts[b])) >= 500 and neardup.similarity(texts[a], texts[b]) >= 0.65}
     assert set(got) == want
+    assert len(got) == len(want)
+
+
+def test_tables_do_not_meet(spark):
+    rows = [(t, k, japanese(k // 2, 40)) for t in ("s", "t") for k in range(4)]
+    df = spark.createDataFrame(rows, "table_name string, rec_id long, text string")
+    got = sorted(tuple(x) for x in neardup.expand(*neardup.near_texts(df)).collect())
+    assert got == [(t, a, b) for t in ("s", "t") for a, b in ((0, 1), (2, 3))]
 
 
 def test_large_groups_of_copies(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "LARGE_GROUP", 3)
-    members = spark.createDataFrame([("t", k, 0) for k in range(9)], "table_name string, rec_id long, rep long")
-    near = spark.createDataFrame([], "table_name string, rep_a long, rep_b long, similarity double")
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    keys = {0: b"a" * 16, 1: b"b" * 16}
+    members = spark.createDataFrame([("t", k, keys[k // 9]) for k in range(16)], "table_name string, rec_id long, text_key binary")
+    near = spark.createDataFrame([("t", keys[0], keys[1], 0.9)], "table_name string, key_a binary, key_b binary, similarity double")
     got = [tuple(r)[1:] for r in neardup.expand(members, near).collect()]
-    assert sorted(got) == list(combinations(range(9), 2))
+    assert sorted(got) == list(combinations(range(16), 2))
+
+
+def test_no_growing_side_is_broadcast(spark, tiny):
+    plan = neardup.p3_found(spark, tiny)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
 
 
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (102, 101)]
-    df = spark.createDataFrame([("t", *e) for e in edges], "table_name string, a long, b long")
-    got = {r.rec_id: r.group_id for r in neardup.components(df).collect()}
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {r.id: r.group_id for r in neardup.components(df).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 102: 100}
 
 
