@@ -47,6 +47,8 @@ BLOCK = 2_000
 SOUGHT = 64
 #: Hot bands that are dealt to tasks, the largest first; any others are joined whole.
 MOST_HOT = 50_000
+#: Bytes of a key in the exchange of bands.
+KEY_BYTES = 20
 #: Texts that a task remembers, to leave the signatures of further copies away.
 REMEMBERED = 200_000
 
@@ -113,7 +115,7 @@ def distances(fp: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return (np.minimum(np.bitwise_count(pivots ^ fp[None, :]).sum(1), 255) - 128).astype(np.int8)
 
 
-SIGNED = "table_name string, rec_id long, text_key binary, u long, bands array<long>, fp binary, pivots array<tinyint>"
+SIGNED = "table_name string, rec_id long, text_key binary, u long, bands array<long>, fp array<long>, pivots array<tinyint>"
 _SIGNED = [c.split()[0] for c in SIGNED.split(", ")]
 
 
@@ -137,7 +139,7 @@ def sign(texts: DataFrame, pivots: np.ndarray) -> DataFrame:
                     met.add(key)
                 s = signature(x)
                 fp = fingerprint(s)
-                rows.append((t, i, key, u, bands(s, zlib.crc32(t.encode())), fp.tobytes(), distances(fp, pivots)))
+                rows.append((t, i, key, u, bands(s, zlib.crc32(t.encode())), fp.view(np.int64), distances(fp, pivots)))
             yield pd.DataFrame(rows, columns=_SIGNED)
 
     return texts.mapInPandas(run, SIGNED)
@@ -165,28 +167,33 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jp.unionByName(synth).where(F.length("text") >= LEAST)
 
 
-def band_pairs(keys: DataFrame) -> DataFrame:
+def band_pairs(keys: DataFrame, n_keys: int) -> DataFrame:
     """(u_a, u_b), u_a < u_b, of all u that share a band in keys(u, band); some pairs come more than once.
 
-    Bands that more than about ``BLOCK`` different texts share are joined block by block.
+    Bands that more than about ``BLOCK`` different texts share are joined block by block. ``n_keys`` is about the rows
+    of keys: the widest exchange gets as many partitions as the session's advisory size asks for.
     """
+    conf = keys.sparkSession.conf
+    advised = int(keys.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")))
+    parts = max(int(conf.get("spark.sql.shuffle.partitions")), n_keys * KEY_BYTES // advised + 1)
     sought = keys.where(F.pmod(F.xxhash64("u"), F.lit(SOUGHT)) == 0).distinct().groupBy("band").agg(F.count("*").alias("n"))
     sought = sought.where(F.col("n") * SOUGHT >= BLOCK).orderBy(F.desc("n"), "band").limit(MOST_HOT)
     hot = cut(sought.select("band", F.ceil(F.col("n") * SOUGHT / BLOCK).alias("parts")))
     any_hot = hot.count() > 0
-    # Both sides of the join read one exchange; copies that several tasks have met go there, too.
+    # Both sides of the join read one exchange, with the copies that several tasks have met.
     cold = keys.join(F.broadcast(hot), "band", "left_anti") if any_hot else keys
-    cold = cold.repartition("band").dropDuplicates(["band", "u"])
+    cold = cold.repartition(parts, "band")
 
     def meet(a: DataFrame, b: DataFrame, *on: str) -> DataFrame:
-        a, b = a.withColumnRenamed("u", "u_a"), b.withColumnRenamed("u", "u_b")
+        # One side loses its copies, so that those of the other find each text once.
+        a, b = a.withColumnRenamed("u", "u_a"), b.dropDuplicates([*on, "u"]).withColumnRenamed("u", "u_b")
         return a.join(shuffled(b), list(on)).where("u_a < u_b").select("u_a", "u_b")
 
     pairs = meet(cold, cold, "band")
     if any_hot:
-        dealt = keys.join(F.broadcast(hot), "band").distinct()
+        dealt = keys.join(F.broadcast(hot), "band")
         a = dealt.select("u", "band", F.pmod(F.xxhash64("u"), "parts").alias("part"))
-        b = dealt.select("u", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"))
+        b = dealt.select("u", "band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
         pairs = pairs.unionByName(meet(a, b, "band", "part"))
     return pairs
 
@@ -198,25 +205,25 @@ def near_texts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     # One row a text: its representative record and what is compared. Copies combine within tasks first.
     own = signed.groupBy("u", "text_key").agg(F.min("table_name").alias("table_name"), F.min("rec_id").alias("rep"), F.max("fp").alias("fp"), F.max("pivots").alias("pivots"))
     own = cut(own)
-    found = band_pairs(firsts.select("u", F.explode("bands").alias("band"))).repartition("u_a").dropDuplicates(["u_a", "u_b"])
+    found = band_pairs(firsts.select("u", F.explode("bands").alias("band")), BANDS * own.count()).repartition("u_a").dropDuplicates(["u_a", "u_b"])
 
     def side(df: DataFrame, s: str) -> DataFrame:
         return df.join(shuffled(own.select(*[F.col(c).alias(f"{c}_{s}") for c in own.columns])), f"u_{s}")
 
     both = side(side(found, "a"), "b").where("table_name_a = table_name_b")
     apart = F.array_max(F.zip_with("pivots_a", "pivots_b", lambda x, y: F.abs(x.cast("int") - y.cast("int"))))
-    words = [F.conv(F.hex(F.substring(f"fp_{s}", 1 + 8 * k, 8)), 16, -10).cast("long") for s in "ab" for k in range(BINS // 64)]
-    differ = sum((F.bit_count(words[k].bitwiseXOR(words[k + BINS // 64])) for k in range(1, BINS // 64)), F.bit_count(words[0].bitwiseXOR(words[BINS // 64])))
+    differ = sum((F.bit_count(F.col("fp_a")[k].bitwiseXOR(F.col("fp_b")[k])) for k in range(BINS // 64)), F.lit(0))
     near = both.where(apart <= RADIUS).where(differ <= RADIUS).select(F.col("table_name_a").alias("table_name"), "rep_a", "rep_b", F.col("text_key_a").alias("key_a"), F.col("text_key_b").alias("key_b"))
     return signed.select("table_name", "rec_id", "text_key"), cut(verify(cut(near), texts))
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs whose five-character sets are alike enough. Only texts of pairs are carried."""
-    ids = cut(pairs.select("table_name", F.col("rep_a").alias("rec_id")).union(pairs.select("table_name", "rep_b")).distinct())
+    # A number for the key picks the texts; the joins below are by the key itself.
+    ids = cut(pairs.select(F.xxhash64("table_name", "rep_a").alias("id")).union(pairs.select(F.xxhash64("table_name", "rep_b"))).distinct())
     # The texts themselves are moved only if they stand in a pair; a few pairs' ids go to the texts, not the texts to them.
-    picked = F.broadcast(ids) if sendable(ids, 40) else shuffled(ids)
-    own = texts.join(picked, ["table_name", "rec_id"], "left_semi").select("table_name", "rec_id", "text")
+    picked = F.broadcast(ids) if sendable(ids) else shuffled(ids)
+    own = texts.withColumn("id", F.xxhash64("table_name", "rec_id")).join(picked, "id", "left_semi").select("table_name", "rec_id", "text")
     full = pairs.join(shuffled(own.select("table_name", F.col("rec_id").alias("rep_a"), F.col("text").alias("text_a"))), ["table_name", "rep_a"])
     full = full.join(shuffled(own.select("table_name", F.col("rec_id").alias("rep_b"), F.col("text").alias("text_b"))), ["table_name", "rep_b"])
 
