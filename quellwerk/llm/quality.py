@@ -5,8 +5,9 @@ in fixed columns, at the same place in line after line; and, in runs of lines wi
 that don't go on from each other, indentation and markers that return with a period, line lengths that
 do (autocorrelation), or many digits and symbols. What is left is
 read as sentences; a sentence runs if it has words enough, common words of its language enough (ja:
-hiragana) and few symbols inside words. A document is prose if running sentences hold most of its
-characters; a sentence that comes back again and again holds none.
+places and characters that common particles and endings cover) and few symbols inside words. A document
+is prose if running sentences hold most of its characters; a sentence that comes back again and again
+holds none.
 
 Everything is computed row by row in one pass without a shuffle. Defined results: a null text has
 null statistics and is no case; an empty one has zeros and is no case; long texts are read whole;
@@ -34,12 +35,15 @@ REPEATS = 2
 ENTRIES, GOES_ON, PERIODIC, ODD_SHARE = 5, 0.2, 0.8, 0.3
 #: Lags, in lines, of a period.
 PERIODS = (1, 2, 3)
+#: A Japanese sentence holds so many common particles and endings, and so large a share of its letters is theirs.
+COMMON_JA, COMMON_JA_SHARE = 2, 0.1
 #: The table of common words is a fixed reference list; more rows than this are refused.
 MOST_COMMON_WORDS = 10_000
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _JA = re.compile("[ぁ-ゖァ-ヺー一-鿿々]")
-_HIRA = re.compile("[ぁ-ゖ]")
+_JA_RUN = re.compile("[ぁ-ゖァ-ヺー一-鿿々]+")
+_DIGITS = re.compile(r"\d+")
 _MARKER = re.compile(r"\s*(?:[-–—*•·・»>▪◦‣+]\s*|\(?\d{1,4}[.):]\s+|\d{1,4}\s+[-–]\s+|[a-z]\)\s+|[①-⑳]\s*)")
 _LEADER = re.compile(r"(?:\.\s?){4,}|…{2,}|_{4,}|-{4,}|={4,}")
 _PAIR = re.compile(r"\s*[^:：\n]{1,40}[:：]\s*\S[^\n]{0,40}$")
@@ -48,14 +52,31 @@ _END_JA = re.compile("(?<=[。．？！])(?![」』）])|(?<=[.?!])\\s+(?=[A-ZÄ
 _END = re.compile("(?<=[.?!])[\"“”»)]*\\s+(?=[A-ZÄÖÜ„\"“(])")
 _CLEAN = re.compile(r"[\"'“”„‘’«»(（\[「『【]*(?:[^\W\d_]+(?:['’./&-][^\W\d_]+)*|[§$€£]*[\d.,:/%–-]+[^\W\d_]{0,4}|[^\W\d_]{1,4}[\d]+|§+|&|–|—|[^\W\d_]+-)[\"'“”‘’«»)）\]」』】.,;:?!%…]*$")
 _GAP = re.compile(r"\S\s{2,}(?=\S)")
-_SIGN = re.compile(r"[^\w\s、。，．「」『』（）・【】％%().,–:：〜？！-]")
+_SIGNS = re.compile(r"[^\w\s、。，．「」『』（）・【】％%().,–:：〜？！-]+")
 _EDGES = "\"'“”„‘’«»()[]（）「」『』【】.,;:?!%…"
 _DELIMITERS = "|\t;,／/»>"
 
 
 def _solid(s: str) -> int:
     """Characters that aren't white space."""
-    return len("".join(s.split()))
+    return sum(map(len, s.split()))
+
+
+def _held(pattern: re.Pattern, s: str) -> int:
+    """Characters of all matches."""
+    return sum(map(len, pattern.findall(s)))
+
+
+class Words:
+    """Common words: a set a language; of Japanese, which has no spaces, a pattern that takes the longest first."""
+
+    def __init__(self, by_language: dict[str, frozenset]):
+        self.sets = [v for k, v in by_language.items() if k != "ja"]
+        ja = sorted(by_language.get("ja", ()), key=lambda w: (-len(w), w))
+        self.ja = re.compile("|".join(map(re.escape, ja)) or "(?!)")
+
+    def most(self, lower: list[str]) -> int:
+        return max((sum(map(v.__contains__, lower)) for v in self.sets), default=0)
 
 
 def _ends(line: str) -> bool:
@@ -168,24 +189,21 @@ def entries(lines: list[str], taken: np.ndarray, ends: re.Pattern) -> np.ndarray
     return hit
 
 
-def _runs(sentence: str, words: dict[str, frozenset]) -> bool:
+def _runs(sentence: str, words: Words) -> bool:
     """Whether a sentence is running text."""
-    s = sentence.strip()
-    if not s.isascii():
-        ja = len(_JA.findall(s))
+    if not sentence.isascii():
+        ja = _held(_JA_RUN, sentence)
         if ja:
-            solid = _solid(s)
+            solid = _solid(sentence)
             if ja * 3 > solid:
-                hira = len(_HIRA.findall(s))
-                return solid >= 8 and hira >= 0.15 * ja and hira >= 3 and len(_SIGN.findall(s)) <= 0.1 * solid
-    tokens = [t.strip(_EDGES) for t in s.split()]
+                common = words.ja.findall(sentence)
+                return solid >= 8 and len(common) >= COMMON_JA and sum(map(len, common)) >= COMMON_JA_SHARE * ja and _held(_SIGNS, sentence) <= 0.1 * solid
+    tokens = sentence.lower().split()
     if len(tokens) < 3:
         return False
-    plain = [t.lower() for t in tokens if t.isalpha()]
-    if len(plain) < 3:
-        return False
-    common = max((sum(map(v.__contains__, plain)) for v in words.values()), default=0)
-    if common < max(1, 0.08 * len(plain)):
+    tokens = [t if t.isalpha() else t.strip(_EDGES) for t in tokens]
+    plain = list(filter(str.isalpha, tokens))
+    if len(plain) < 3 or words.most(plain) < max(1, 0.08 * len(plain)):
         return False
     # Numbers, hyphens and the like are looked at only where they could decide.
     odd = len(tokens) - len(plain)
@@ -194,7 +212,7 @@ def _runs(sentence: str, words: dict[str, frozenset]) -> bool:
     return odd <= 0.25 * len(tokens)
 
 
-def _goes_on(lines: list[str], i: int, body: str, words: dict[str, frozenset]) -> bool:
+def _goes_on(lines: list[str], i: int, body: str, words: Words) -> bool:
     """Whether an item's sentence runs on over the next lines, up to its end."""
     if _ends(body) or i + 1 == len(lines):
         return False
@@ -211,7 +229,7 @@ def _goes_on(lines: list[str], i: int, body: str, words: dict[str, frozenset]) -
     return False
 
 
-def prose_share(text: str, words: dict[str, frozenset]) -> tuple[float, float, float]:
+def prose_share(text: str, words: Words) -> tuple[float, float, float]:
     """(share of the characters in running sentences, share of the lines in tables and lists, of aligned lines)."""
     lines = [x for x in text.split("\n") if x.strip()]
     total = _solid(text)
@@ -219,11 +237,12 @@ def prose_share(text: str, words: dict[str, frozenset]) -> tuple[float, float, f
         return 0.0, 0.0, 0.0
     table_line = aligned(lines)
     structured = np.zeros(len(lines), bool)
+    leaders = _LEADER.search(text) is not None if any(x in text for x in ("..", ". .", "…", "__", "--", "==")) else False
     for i, x in enumerate(lines):
         item = _MARKER.match(x)
         if table_line[i]:
             structured[i] = not (_ends(x) and _runs(x, words))
-        elif _LEADER.search(x):
+        elif leaders and _LEADER.search(x):
             structured[i] = True
         elif item:
             body = x[item.end() :]
@@ -250,7 +269,7 @@ def prose_share(text: str, words: dict[str, frozenset]) -> tuple[float, float, f
         for part in joined.split("\n"):
             for s in ends.split(part):
                 if s and _runs(s, words):
-                    key = re.sub(r"\d+", "0", s.strip().lower())
+                    key = _DIGITS.sub("0", s.strip().lower())
                     seen[key] += 1
                     if seen[key] <= REPEATS:
                         got += _solid(s)
@@ -273,19 +292,18 @@ RESULT = (
 _NAMES = [x.split()[0] for x in RESULT.split(", ")]
 
 
-def statistics(text: str, words: dict[str, frozenset]) -> tuple:
+def statistics(text: str, words: Words) -> tuple:
     lines = [x for x in text.split("\n") if x.strip()]
-    w = _WORD.findall(text)
-    ja = len(_JA.findall(text))
+    w = _WORD.findall(text.lower())
+    ja = 0 if text.isascii() else _held(_JA_RUN, text)
     solid = max(1, _solid(text))
     n_words = len(w)
     if ja * 3 > solid:
-        # Without spaces a word has no end to see; particles and endings stand for common words.
-        common = len(_HIRA.findall(text)) / max(1, ja)
+        # Without spaces a word has no end to see: the share of the letters that common particles and endings cover.
+        common = _held(words.ja, text) / max(1, ja)
     else:
-        low = [x.lower() for x in w]
-        common = max((sum(map(v.__contains__, low)) for v in words.values()), default=0) / max(1, n_words)
-    letters, digits = sum(map(len, w)), sum(map(text.count, "0123456789"))
+        common = words.most(w) / max(1, n_words)
+    letters, digits = sum(map(len, w)), _held(_DIGITS, text)
     share, structured, in_columns = prose_share(text, words)
     return (
         n_words, letters / max(1, n_words), max(0, solid - letters - digits) / solid, sum(_ends(x) for x in lines) / max(1, len(lines)), common, digits / solid,
@@ -293,14 +311,14 @@ def statistics(text: str, words: dict[str, frozenset]) -> tuple:
     )
 
 
-def common_words(spark: SparkSession, sf_dir: str) -> dict[str, frozenset]:
+def common_words(spark: SparkSession, sf_dir: str) -> Words:
     rows = table(spark, sf_dir, "common_words", "lang", "word").where("lang is not null and word is not null").limit(MOST_COMMON_WORDS + 1).collect()
     if len(rows) > MOST_COMMON_WORDS:
         raise ValueError("common_words is a reference list of at most %d rows" % MOST_COMMON_WORDS)
-    return {k: frozenset(r.word.lower() for r in rows if r.lang == k) for k in {r.lang for r in rows} if k != "ja"}
+    return Words({k: frozenset(r.word.lower() for r in rows if r.lang == k) for k in {r.lang for r in rows}})
 
 
-def measure(docs: DataFrame, words: dict[str, frozenset]) -> DataFrame:
+def measure(docs: DataFrame, words: Words) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = [(i, *((None,) * (len(_NAMES) - 1) if t is None else statistics(t, words))) for i, t in zip(b.doc_id, b.text)]

@@ -3,6 +3,7 @@ import re
 import textwrap
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from quellwerk.llm import common, encoding, leakage, lookalikes, neardup, packing, quality, registry, sentences, truncation
@@ -317,7 +318,7 @@ def test_join_of_many_items(spark):
 
 # ---- 8 ----
 
-WORDS = {"de": frozenset(["der", "die", "hat", "den", "des"]), "en": frozenset(["the", "of", "and", "is"])}
+WORDS = quality.Words({"de": frozenset(["der", "die", "hat", "den", "des"]), "en": frozenset(["the", "of", "and", "is"]), "ja": frozenset("の に は を た が で て と し から".split())})
 
 
 @pytest.mark.parametrize(
@@ -358,6 +359,22 @@ def test_prose_by_periods_and_lengths(text, prose):
     assert quality.statistics(text, WORDS)[-1] is prose
 
 
+@pytest.mark.parametrize("detector,text", [("aligned", "\n".join(f"{_NAMES[k % 5]}\tder Ofen hat\tdie Pumpe\tden Zaun" for k in range(9))), ("_shapes", "\n".join(f"    {_NAMES[k % 5]} und die Wartung der Anlage hat Vorrang" for k in range(12))), ("length_steadiness", "\n".join(["Worker hat den Auftrag der Warteschlange ohne Fehler ausgeführt", "Speicher hat die Seiten geleert und den Rest behalten"][k % 2] + " " + "abcdefghijkl"[k] for k in range(12)))])
+def test_each_detector_decides(monkeypatch, detector, text):
+    assert not quality.statistics(text, WORDS)[-1]
+    off = {"aligned": lambda lines: np.zeros(len(lines), bool), "_shapes": lambda lines: [""] * len(lines), "length_steadiness": lambda lines: 0.0}
+    monkeypatch.setattr(quality, detector, off[detector])
+    assert quality.statistics(text, WORDS)[-1]
+
+
+def test_digits_and_common_words_of_japanese():
+    text = "金額は１２３４５６７８９０円である。"
+    n = dict(zip(quality._NAMES[1:], quality.statistics(text, WORDS)))
+    assert round(n["symbol_ratio"], 2) == 0.06 and round(n["digit_ratio"], 2) == 0.56
+    assert n["common_word_ratio"] == pytest.approx(2 / 7)
+    assert quality.statistics("被告は原告に賃料を支払った。", WORDS)[-1] and not quality.statistics("口座番号 預金種別 支店名称 合計金額", WORDS)[-1]
+
+
 def test_steadiness_is_an_autocorrelation():
     assert quality.length_steadiness(["a" * 20] * 6) == 1
     assert quality.length_steadiness(["a" * 20, "a" * 60] * 20) > 0.9
