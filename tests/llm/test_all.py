@@ -316,6 +316,23 @@ def test_join_of_many_items(spark):
     assert few == many == {(1, 1), (2, 2), (5, 1)}
 
 
+@pytest.mark.parametrize("sent", [8_000_000, 0])
+def test_both_joins_give_the_same_rows(spark, monkeypatch, sent):
+    """All rows of whole tables, re-parameterised ones with other numbers, units and names too."""
+    folder = "/root/testdata/sf0.01"
+    docs, evals = common.table(spark, folder, "documents", "doc_id", "text"), common.table(spark, folder, "eval_items", "item_id", "lang", "item_text")
+    few = sorted(tuple(r) for r in leakage.detect(docs, evals).collect())
+    monkeypatch.setattr(common, "MOST_SENT", sent)
+    many = sorted(tuple(r) for r in leakage.detect(docs, evals, 0).collect())
+    assert few == many
+    assert sum(not r[2] for r in few) > 600 and sum(r[2] for r in few) > 40
+
+
+def test_a_number_split_by_marks_is_one():
+    items = leakage.Items([(1, "ja", JA_ITEM)])
+    assert any(v for _, v, _ in leakage.leaks(JA_ITEM.replace("13回", "1, 3回"), items))
+
+
 # ---- 8 ----
 
 WORDS = quality.Words({"de": frozenset(["der", "die", "hat", "den", "des"]), "en": frozenset(["the", "of", "and", "is"]), "ja": frozenset("の に は を た が で て と し から".split())})
