@@ -33,17 +33,17 @@ def test_runs_on_data(spark, tiny, name):
     "text,cut",
     [
         ("Die Klage ist begründet.", False), ("Die Klage ist begr", True), ("Die Klage ist", True), ("Die Klage ist begr …", True), ("Die Klage ist begr [mehr]", True), ("Ein Satz.\n\ngez. Unterschriften", False),
-        ("Ein Satz\n\ngez. Unterschriften", True), ("Ein Satz.\nAnlagen: 1, 2, 3", False), ("Er sagte: „Ja. Nein", True), ("Er sagte: „Ja. Nein.“", False), ("so LG X, Urt. v.", True), ("fällig seit dem 12.", True), ("Beschluss zu TOP 20.", False),
+        ("Ein Satz\n\ngez. Unterschriften", True), ("Ein Satz.\nAnlagen: 1, 2, 3", False), ("Er sagte: „Ja. Nein", True), ("Er sagte: „Ja. Nein.“", False), ("fällig seit dem 12.", True), ("Beschluss zu TOP 20.", False),
         ("請求を棄却する。\n\n以上", False), ("請求を棄却", True), ("請求を棄却（続きを読む）", True), ("請求を棄却\n\n【PDF全文URL】https://a.example/1.pdf", True), ("（なお、留保した。", True), ("認めない（甲1号証）", True), ("認めない（甲1号証）。", False),
     ],
 )
 def test_ends(text, cut):
-    assert truncation.end_traits(text)[0] is not cut
+    assert truncation.end_traits(truncation.running(text))[1] is cut
 
 
 def test_no_running_text():
-    assert truncation.end_traits("【PDF全文URL】https://a.example/1.pdf") is None
-    assert truncation.end_traits(" \n") is None
+    assert truncation.end_traits(truncation.running("【PDF全文URL】https://a.example/1.pdf")) is None
+    assert truncation.end_traits(truncation.running(" \n")) is None
 
 
 def test_cut_records(spark, dirty):
@@ -70,7 +70,23 @@ def test_cut_records(spark, dirty):
     ],
 )
 def test_lost_characters_before_the_end(end, ok, unclosed):
-    assert truncation.end_traits("理由\n\n" + end)[:2] == (ok, unclosed)
+    kind, open_, *_ = truncation.end_traits(truncation.running("理由\n\n" + end))
+    assert (not open_, kind == "unclosed") == (ok, unclosed)
+
+
+def test_witnesses_decide(spark):
+    """Headings are told from fragments by the corpus, abbreviations are learned, each witness weighs."""
+    body = "Der Kläger hat die Miete gezahlt, so LG X, Urt. v. 3. Mai. Die Vermieterin hat nach Bl. 5 d. A. den Mangel angezeigt."
+    texts_ = [f"Tatbestand\n\n{german(k)}\n\n{body}\n\nKostenpunkt\n\nDer Kläger trägt {k} Euro." for k in range(200)]
+    odd = {
+        "word": body + "\n\nDie Vermieterin hat den Mangel nicht erkannt und der Kläger die Mie", "short": body + "\n\nDie Vermieterin hat den Mang", "short_words": body + "\n\nDer Kläger hat gegen den",
+        "heading": body + "\n\nKostenpunkt", "abbreviation": body + "\n\nDer Kläger hat die Miete gezahlt und den Mangel angezeigt, so LG X, Urt. v.", "whole": body,
+    }
+    rows = [("de_case_detail", k, "s", t) for k, t in enumerate(texts_)] + [("de_case_detail", 1000 + k, "s", t) for k, t in enumerate(odd.values())]
+    df = spark.createDataFrame(rows, "table_name string, rec_id long, source string, text string")
+    got = {r.rec_id: r for r in truncation.detect(df, encoding.train([])).collect()}
+    assert set(got) == {1000 + k for k, name in enumerate(odd) if name not in ("heading", "whole")}
+    assert got[1000].broken_word and not got[1002].broken_word and got[1000].score > got[1004].score
 
 
 # ---- 2 ----
