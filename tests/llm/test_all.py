@@ -128,6 +128,42 @@ def test_viterbi_is_the_same_alone_and_in_a_block(model):
         assert (encoding.viterbi([t], model)[0] == p).all()
 
 
+@pytest.mark.parametrize("pair", [p for p, (_, inverse) in encoding.PAIRS.items() if inverse])
+def test_short_runs_come_back(spark, pair):
+    """Runs of eight characters inside clean texts of the data are found and restored to the very text."""
+    texts = [r.full_text for r in spark.read.parquet("/root/testdata/sf0.001/jp_case_detail.parquet").select("full_text").collect()]
+    clean = [t for t in texts if t and len(t) > 200 and not encoding._SUSPICIOUS_PY.search(t)]
+    model = encoding.train(clean)
+    r, bad, whole = random.Random(8), [], []
+    for t in clean * 3:
+        a = r.randrange(20, len(t) - 28)
+        garbled = encoding.PAIRS[pair][0](t[a : a + 8])
+        if garbled != t[a : a + 8] and "�" not in garbled:
+            bad.append(t[:a] + garbled + t[a + 8 :])
+            whole.append(t)
+    found = encoding.label_odd(bad, model)
+    back = sum(bool(found.get(k)) and encoding.repair(b, found[k]) == w for k, (b, w) in enumerate(zip(bad, whole)))
+    assert len(bad) > 10
+    assert back >= 0.8 * len(bad)
+
+
+def test_filter_leaves_no_escape_run_out():
+    for n in (1, 2, 5):
+        for k in range(30):
+            part = japanese(k)[5 : 5 + n]
+            bad = encoding.PAIRS["iso2022jp_as_ascii"][0](part)
+            assert bad == part or encoding._SUSPICIOUS_PY.search(bad)
+
+
+def test_bytes_go_through_the_model(spark, dirty):
+    model = encoding.train([japanese(k) for k in range(60)] + [german(k) for k in range(60)])
+    for k, (name, pair) in enumerate((("cp932", "cp932_as_western"), ("euc_jp", "eucjp_as_western"), ("cp1252", "cp1252_as_utf8"))):
+        want = "<p>Größe der Räume, § 5</p>" if name == "cp1252" else "<h2>主文</h2>\n<p>" + japanese(k + 80) + "</p>"
+        text = encoding._read_western(want.encode(name))
+        pairs, back = encoding.from_western(text, model, encoding.label_odd([text], model).get(0, []))
+        assert (pairs, back) == ([pair], want)
+
+
 # ---- 3 ----
 
 
@@ -255,13 +291,14 @@ def test_canonical_is_stable():
         assert lookalikes.canonical(once)[0] == once
 
 
-def test_open_places_by_counts(spark, monkeypatch):
-    rows = [("t", "f", k, "水力発電") for k in range(10)] + [("t", "f", 99, "水カ発電"), ("t", "f", 100, "ミ工業"), ("t", "f", 101, None)]
+@pytest.mark.parametrize("sent", [8_000_000, 0])  # places in the code, and places by a join
+def test_open_places_by_counts(spark, monkeypatch, sent):
+    monkeypatch.setattr(common, "MOST_SENT", sent)
+    rows = [("t", "f", k, "水力発電と漢カ二字と漢力ニ字") for k in range(10)] + [("t", "f", 99, "水カ発電"), ("t", "f", 100, "ミ工業"), ("t", "f", 101, None), ("t", "f", 102, "漢力二字")]
     df = spark.createDataFrame(rows, "table_name string, field_name string, rec_id long, value string").where("value is not null")
-    for few in (200, 0):  # places in the code, and places by a join
-        monkeypatch.setattr(lookalikes, "FEW_PLACES", few)
-        got = {r.rec_id: r.canonical for r in lookalikes.normalise(df).collect()}
-        assert got == {99: "水力発電"}
+    got = {r.rec_id: r.canonical for r in lookalikes.normalise(df).collect()}
+    # Places that overlap are each rewritten.
+    assert got == {99: "水力発電", 102: "漢カニ字"}
 
 
 def test_found_values(spark, dirty):
