@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quellwerk.llm import encoding
-from quellwerk.llm.common import cut, table
+from quellwerk.llm.common import cut, sendable, shuffled, table
 
 _INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​-‏‪-‮⁠-⁤⁦-⁯︀-️﻿"
 _SPACES = "   -   　"
@@ -65,8 +65,6 @@ _UNSEEN = re.compile(f"[{_INVISIBLE}]+")
 _TWIN = {k: v for k, v in (KANJI_TWINS | KANA_TWINS).items() if k in "力二八口工夕千三才又カニハロエタチミオヌ"}
 #: The reading with the twin must stand in so many places, and so many times as often.
 OPEN_LEAST, OPEN_RATIO = 5, 5
-#: Up to so many places in conflict go to every task with the code; more are joined to the values.
-FEW_PLACES = 200
 
 
 def _expand(ranges: str) -> list[str]:
@@ -156,10 +154,11 @@ def canonical(text: str, open_places: set[str] | frozenset = frozenset()) -> tup
         if new != text:
             kinds.add("kana or kanji")
             text = new
-    for place in open_places:
-        if place in text:
-            kinds.add("kana or kanji")
-            text = text.replace(place, place[0] + _TWIN[place[1]] + place[2])
+    # All places are found before any is rewritten: they may overlap.
+    at_ = {m.start() + 1 for place in open_places for m in re.finditer(f"(?={re.escape(place)})", text)}
+    if at_:
+        kinds.add("kana or kanji")
+        text = "".join(_TWIN[c] if k in at_ else c for k, c in enumerate(text))
     return text, kinds
 
 
@@ -206,20 +205,20 @@ def normalise(vals: DataFrame) -> DataFrame:
     key = ["table_name", "field_name", "rec_id"]
     found = cut(open_places(vals))
     conflicts = cut(open_conflicts(found))
-    few = [r.place for r in conflicts.limit(FEW_PLACES + 1).collect()]
-    if len(few) <= FEW_PLACES:
+    # A few places go to every task with the code (by a check of their size); more are joined to the values.
+    few: frozenset = frozenset()
+    if sendable(conflicts, 60):
+        few = frozenset(r.place for r in conflicts.collect())
         asked = vals.withColumn("places", F.lit(None).cast("array<string>"))
     else:
-        few = []
-        hit = found.join(conflicts, "place", "left_semi").groupBy(*key).agg(F.collect_set("place").alias("places"))
-        asked = vals.join(hit, key, "left")
-    open_ = re.compile("|".join(map(re.escape, few))) if few else None
+        hit = found.join(shuffled(conflicts), "place", "left_semi").groupBy(*key).agg(F.collect_set("place").alias("places"))
+        asked = vals.join(shuffled(hit), key, "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for t, f, i, v, own in zip(b.table_name, b.field_name, b.rec_id, b.value, b.places):
-                here = set(own) if own is not None else set(open_.findall(_UNSEEN.sub("", v))) if open_ else set()
+                here = set(own) if own is not None else few.intersection(places(v)) if few else set()
                 if here or _SHAPES.search(v) or _BESIDE.search(v):
                     new, kinds = canonical(v, here)
                     if kinds:
