@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quellwerk.llm.common import cut, table
+from quellwerk.llm.common import cut, sendable, shuffled, table
 
 #: Score of an abbreviation, and log-likelihood of a collocation and of a sentence starter (the published thresholds).
 ABBREVIATION, COLLOCATION, STARTER = 0.3, 7.88, 30.0
@@ -31,8 +31,9 @@ ABBREVIATION, COLLOCATION, STARTER = 0.3, 7.88, 30.0
 FOLLOWED, STARTED = 0.5, 0.3
 #: A short line counts as a heading if it stands so often, digits apart.
 HEADING_LEAST, HEADING_MOST = 3, 60
-#: Entries of the learned model; more would mean that something else than language was learned.
-MOST_ENTRIES = 200_000
+#: Abbreviations, collocations and starters of all languages; they are bounded by the languages' words, not by the corpus,
+#: so more would mean that something else than language was learned. Lines, which the corpus adds to, are not bounded.
+MOST_ENTRIES = 500_000
 #: Distinct counts that a task holds before it passes them on.
 MOST_COUNTED = 200_000
 
@@ -118,8 +119,8 @@ def starters(counts: DataFrame, total: DataFrame) -> DataFrame:
     return both.where((llr >= STARTER) & (F.col("n_first") * F.col("n_all") > F.col("n_lines").cast("double") * F.col("n_b"))).select("lang", "b")
 
 
-def learn(counts: DataFrame) -> dict:
-    """The model of all languages, from the counts."""
+def learn(counts: DataFrame) -> tuple[dict, DataFrame]:
+    """The model of all languages, from the counts, and (lang, line): lines that stand alone often, digits alike."""
     counts = cut(counts)
 
     def kind(k: str, a: str, n: str, *more) -> DataFrame:
@@ -145,12 +146,11 @@ def learn(counts: DataFrame) -> dict:
     both = pair.join(dotted.select("lang", F.col("w").alias("a"), F.col("n_dot").alias("n_a")), ["lang", "a"]).join(word, ["lang", "b"]).join(total, "lang")
     close = both.withColumn("llr", ratio(F.col("n_a"), F.col("n_b"), F.col("n_ab"), F.col("n_all"))).where((F.col("llr") >= COLLOCATION) & (F.col("n_ab") * F.col("n_all") > F.col("n_a").cast("double") * F.col("n_b")))
     close = close.where("a rlike '^0$' or length(a) = 1 or b rlike '^0' and 2 * n_ab >= n_a")
-    lines = kind("line", "a", "n").where(F.col("n") >= HEADING_LEAST)
+    lines = cut(kind("line", "line", "n").where(F.col("n") >= HEADING_LEAST).select("lang", "line"))
     parts = {
         "abbreviation": abbr.select("lang", F.col("w").alias("a"), F.lit("").alias("b")),
         "collocation": close.select("lang", "a", "b"),
         "starter": starts.select("lang", F.col("b").alias("a"), F.lit("").alias("b")),
-        "line": lines.select("lang", "a", F.lit("").alias("b")),
     }
     model = None
     for name, df in parts.items():
@@ -159,9 +159,31 @@ def learn(counts: DataFrame) -> dict:
     rows = model.limit(MOST_ENTRIES + 1).collect()
     if len(rows) > MOST_ENTRIES:
         raise ValueError("the sentence model has more than %d entries" % MOST_ENTRIES)
-    out = {(lang, k): set() for lang in ("de", "en", "ja") for k in parts}
+    out = {(lang, k): set() for lang in ("de", "en", "ja") for k in (*parts, "line")}
     for r in rows:
         out[r.lang, r.kind].add((r.a, r.b) if r.b else r.a)
+    return out, lines
+
+
+def with_lines(model: dict, lines) -> dict:
+    """The model with these (lang, line)."""
+    out = {k: v if k[1] != "line" else set() for k, v in model.items()}
+    for lang, line in lines:
+        out[lang, "line"].add(line)
+    return out
+
+
+_AFTER_UNIT = re.compile("(?<=[。．？！?!.…”“\"’»)）」』])")
+
+
+def asked_lines(text: str) -> set[str]:
+    """All lines, or ends of lines after a unit's end, that a splitter may look up."""
+    out = set()
+    for line in text.split("\n"):
+        for a in (0, *(m.start() for m in _AFTER_UNIT.finditer(line))):
+            s = re.sub(r"\d+", "0", line[a:].strip())
+            if s and len(s) <= HEADING_MOST:
+                out.add(s)
     return out
 
 
@@ -361,16 +383,39 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.where("text is not null and text != ''")
 
 
-def split(rows: DataFrame, model: dict) -> DataFrame:
-    """(table_name, rec_id, start_pos, end_pos) of rows(table_name, rec_id, text)."""
+def split(rows: DataFrame, learned: tuple[dict, DataFrame]) -> DataFrame:
+    """(table_name, rec_id, start_pos, end_pos) of rows(table_name, rec_id, text).
+
+    Known lines go to every task with the rest of the model, by a check of their size; more are joined to the texts that
+    ask for them.
+    """
+    model, lines = learned
+    few = sendable(lines, 60)
+    if few:
+        model = with_lines(model, lines.collect())
+        rows = rows.withColumn("lines", F.lit(None).cast("array<string>"))
+    else:
+
+        def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                out = [(t, i, language(x), line) for t, i, x in zip(b.table_name, b.rec_id, b.text) for line in asked_lines(x)]
+                yield pd.DataFrame(out, columns=["table_name", "rec_id", "lang", "line"])
+
+        asked = rows.select("table_name", "rec_id", "text").mapInPandas(ask, "table_name string, rec_id long, lang string, line string")
+        own = asked.join(shuffled(lines), ["lang", "line"]).groupBy("table_name", "rec_id").agg(F.collect_set("line").alias("lines"))
+        rows = rows.join(shuffled(own), ["table_name", "rec_id"], "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         splitter = Splitter(model)
         for b in batches:
-            out = [(t, i, *u) for t, i, x in zip(b.table_name, b.rec_id, b.text) for u in splitter.units(x)]
+            out = []
+            for t, i, x, own in zip(b.table_name, b.rec_id, b.text, b.lines):
+                if not few:
+                    splitter = Splitter(with_lines(model, [(language(x), line) for line in (() if own is None else own)]))
+                out += [(t, i, *u) for u in splitter.units(x)]
             yield pd.DataFrame(out, columns=["table_name", "rec_id", "start_pos", "end_pos"])
 
-    return rows.select("table_name", "rec_id", "text").mapInPandas(run, "table_name string, rec_id long, start_pos long, end_pos long")
+    return rows.select("table_name", "rec_id", "text", "lines").mapInPandas(run, "table_name string, rec_id long, start_pos long, end_pos long")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -242,7 +242,17 @@ def splitter(spark):
     en = "The filing by Norvika Inc. covers two sites. However, Dr. M. of the office, e.g. the auditor, agreed at approx. 28 percent. Under Art. 5 the provider must answer. The office closed. No further form is needed."
     texts += [en + f" The fee rose to {k} percent." for k in range(200)]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    return sentences.Splitter(sentences.learn(sentences.count_all(df)))
+    model, lines = sentences.learn(sentences.count_all(df))
+    return sentences.Splitter(sentences.with_lines(model, lines.collect()))
+
+
+def test_lines_by_a_join_give_the_same_units(spark, monkeypatch):
+    df = sentences.texts(spark, "/root/testdata/sf0.001")
+    learned = sentences.learn(sentences.count_all(df))
+    sent = sorted(map(tuple, sentences.split(df, learned).collect()))
+    assert learned[1].count() > 20
+    monkeypatch.setattr(common, "MOST_SENT", 0)
+    assert sorted(map(tuple, sentences.split(df, learned).collect())) == sent
 
 
 @pytest.mark.parametrize(
