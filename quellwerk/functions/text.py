@@ -95,9 +95,9 @@ def first_matches(text: Column, rules: list[str], flags: str = "") -> Column:
         start = re.match(r"[^(\[?*+\\|.]*", p)[0]
         start = start[:-1] if p[len(start) : len(start) + 1] == "?" else start
         start = start.lower() if fold else start
-        # The match begins where its literal start does: only what follows is given to the pattern. (Lower case can
-        # change a text's length in rare scripts; such texts are searched whole.)
-        near = F.when(F.length(low) == F.length(t), F.substring(t, F.instr(low, start), F.lit(len(p) + 40))).otherwise(t)
+        # A match begins where a literal start does: what precedes the first one isn't given to the pattern. (Lower case
+        # can change a text's length in rare scripts; such texts are searched whole.)
+        near = F.when(F.length(low) == F.length(t), F.substring(t, F.instr(low, start), F.length(t))).otherwise(t)
         return F.when(low.contains(start), F.regexp_extract(near, flags + p, 0)).otherwise("")
 
     # Bound by a lambda, the lower-case text is made once and not for every pattern.
@@ -119,9 +119,17 @@ def is_german(text: Column) -> Column:
 
 def trigrams(text: Column) -> Column:
     """TXT25: triples of neighbouring words of a text with six words or more, else none."""
-    words = F.split(text, "\\s+")
-    triples = F.transform(F.sequence(F.lit(1), F.size(words) - 2), lambda i: F.concat_ws(" ", F.slice(words, i, F.lit(3))))
-    return F.when(F.size(words) >= 6, triples).otherwise(F.array().cast("array<string>"))
+
+    def triples(words: Column) -> Column:
+        own = F.transform(F.sequence(F.lit(1), F.size(words) - 2), lambda i: F.concat_ws(" ", F.slice(words, i, F.lit(3))))
+        return F.when(F.size(words) >= 6, own).otherwise(F.array().cast("array<string>"))
+
+    return bound(F.split(text, "\\s+"), triples)
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value made once a row: a lambda within would make an expression anew for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def dedup_hash(url: Column, diff: Column, ts: Column) -> Column:
@@ -186,11 +194,13 @@ def json_document(document_id: Column, segments: Column) -> Column:
     return F.to_json(F.struct(document_id.alias("document_id"), segments.alias("segments")), {"ignoreNullFields": "false"})
 
 
-def fill_template(template: str, columns: list[str]) -> Column:
-    """GEN14, TXT21: ``"{a} {b}"`` as an expression; an unknown name is an error at once."""
+def fill_template(template: str, columns: list[str], raw_if_unknown: bool = False) -> Column:
+    """GEN14, TXT21: ``"{a} {b}"`` as an expression; an unknown name is an error at once, or gives the template as it is."""
     import string
 
     out = []
+    if raw_if_unknown and any(name is not None and name not in columns for _, name, *_ in string.Formatter().parse(template)):
+        return F.lit(template)
     for literal, name, *_ in string.Formatter().parse(template):
         if literal:
             out.append(F.lit(literal))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quellwerk.functions import patterns as P
-from quellwerk.functions.text import trigrams
+from quellwerk.functions.text import bound, trigrams
 
 FLAW = "struct<flaw_type:string,flaw_subtype:string,severity:string,confidence:double,description:string,evidence:string>"
 
@@ -26,9 +26,7 @@ def _flaw(kind: str, subtype: str, severity: str, confidence: float, description
 
 def repeated_trigrams(text: Column) -> Column:
     """Trigrams that stand three times or more, sorted: equal neighbours of the sorted list, one pass."""
-    t = F.array_sort(trigrams(text))
-    third = F.filter(t, lambda x, i: (i >= 2) & (F.get(t, i - 2) == x))
-    return F.array_distinct(third)
+    return bound(F.array_sort(trigrams(text)), lambda t: F.array_distinct(F.filter(t, lambda x, i: (i >= 2) & (F.get(t, i - 2) == x))))
 
 
 def segment_flaws(long: DataFrame) -> DataFrame:
@@ -114,6 +112,13 @@ def mentions(docs: DataFrame, rules: list[tuple[str, str]], around: int, ignore_
     return docs.where("full_text is not null and full_text != ''").select("rec_id", "full_text").mapInPandas(run, MENTIONS)
 
 
+def mention_counts(docs: DataFrame, rules: list[tuple[str, str]], ignore_case: bool) -> DataFrame:
+    """TXT12, TXT13 where only counts are asked for: (type, n), matched in the JVM, combined within tasks."""
+    flags = "(?iu)" if ignore_case else ""
+    each = F.array(*[F.struct(F.lit(t).alias("type"), F.regexp_count("full_text", F.lit(flags + p)).cast("bigint").alias("k")) for p, t in rules])
+    return docs.where("full_text is not null and full_text != ''").select(F.inline(each)).groupBy("type").agg(F.sum("k").alias("n")).where("n > 0")
+
+
 def court_taxonomy(found: DataFrame, examples: int = 5) -> DataFrame:
     """AGG9, WIN5, SRT2: count by type with the first contexts by record and position."""
     first = first_rows(found.select("type", "rec_id", "position", "context"), ["type"], ["rec_id", "position"], examples)

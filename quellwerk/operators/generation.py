@@ -184,6 +184,18 @@ def number(df: DataFrame, order: Column, name: str, buckets: int = 4_096) -> Dat
     return x.join(F.broadcast(offsets), "__b").withColumn(name, F.row_number().over(w) + F.col("__at")).drop("__o", "__b", "__at")
 
 
+def number_in_order(df: DataFrame, order: Column, name: str, buckets: int = 256) -> DataFrame:
+    """1, 2, … by a number's order, over ranges of about one size: a quantile sketch cuts them, counts give each its offset."""
+    x = df.withColumn("__o", order)
+    edges = x.agg(F.percentile_approx("__o", [k / buckets for k in range(1, buckets)], 10_000).alias("e")).first().e or []
+    cuts = F.array(*[F.lit(e) for e in sorted(set(edges))])
+    x = x.withColumn("__b", F.size(F.filter(cuts, lambda e: e < F.col("__o"))) if edges else F.lit(0))
+    sizes = x.groupBy("__b").agg(F.count("*").alias("__n"))
+    offsets = sizes.select("__b", (F.sum("__n").over(Window.orderBy("__b")) - F.col("__n")).alias("__at"))  # at most ``buckets`` rows
+    w = Window.partitionBy("__b").orderBy("__o", *df.columns)
+    return x.join(F.broadcast(offsets), "__b").withColumn(name, F.row_number().over(w) + F.col("__at")).drop("__o", "__b", "__at")
+
+
 def gaussian_copula(df: DataFrame, columns: list[str], n: int, seed: int = 42) -> DataFrame:
     """GEN13: n rows with the marginals and rank correlations of numeric columns.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,31 @@ def windows(df: DataFrame, key: str, text: str, size: int = 500, overlap: int =
     return x.select(key, F.col("chunk_index").cast("bigint").alias("chunk_index"), F.col("start").cast("bigint").alias("start"), F.size(F.slice("w", F.col("start") + 1, F.lit(size))).cast("bigint").alias("n_words"), F.array_join(F.slice("w", F.col("start") + 1, F.lit(size)), " ").alias("chunk"))
 
 
+def embed(df: DataFrame, key: str, text: str, model=None, dimensions: int = 64, batch: int = 64) -> DataFrame:
+    """RAG3: (key, embedding), ``batch`` texts a call of ``model`` (texts to vectors), which each task makes once.
+
+    Without a model a deterministic stub stands in: hashed words, scaled to length one. A null text is embedded as "".
+    """
+
+    def stub(texts: list[str]) -> np.ndarray:
+        out = np.zeros((len(texts), dimensions), np.float32)
+        for r, t in enumerate(texts):
+            for w in t.lower().split():
+                h = zlib.crc32(w.encode())
+                out[r, h % dimensions] += 1 if h & 0x10000 else -1
+        return out / np.maximum(1e-12, np.linalg.norm(out, axis=1, keepdims=True))
+
+    kind = dict(df.dtypes)[key]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for k in range(0, len(b), batch):
+                part = b.iloc[k : k + batch]
+                yield pd.DataFrame({key: part[key], "embedding": list(map(list, (model or stub)([t or "" for t in part[text]])))})
+
+    return df.select(key, text).mapInPandas(run, f"{key} {kind}, embedding array<float>")
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """RAG4, LIM4: the k nearest others by cosine of each query vector.
 

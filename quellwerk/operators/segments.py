@@ -51,6 +51,23 @@ def length_stats(long: DataFrame, digits: int | None = 1) -> DataFrame:
     return long.groupBy("segment").agg(F.count("*").alias("n"), F.min(n).cast("bigint").alias("min"), F.max(n).cast("bigint").alias("max"), *[v.alias(k) for k, v in kept.items()])
 
 
+def empty_alert(long: DataFrame, most: float = 10.0) -> DataFrame:
+    """FIL9: segments that are empty in more than ``most`` percent of the documents."""
+    share = F.avg((chars(F.col("text")) == 0).cast("double")) * 100
+    return long.groupBy("segment").agg(share.alias("p")).where(F.col("p") > most).select("segment", F.round("p", 1).alias("pct_empty"))
+
+
+def buyer_scorecard(one: DataFrame) -> DataFrame:
+    """AGG22 on one row (n_segments, m: mean characters a segment, n_tiers: documents with a tier, k: critical flaws, n: documents).
+
+    Five checks, their share in percent, and a verdict: sufficient from 80, promising from 60, else doubtful.
+    """
+    checks = [F.col("n_segments") >= 6, F.col("m") > 100, F.col("n_tiers") > 0, F.col("k") * 100 / F.col("n") < 5, F.col("m") > 200]
+    score = sum((F.coalesce(c, F.lit(False)).cast("int") for c in checks), F.lit(0))
+    final = F.bround(score / len(checks) * 100).cast("bigint")
+    return one.select(score.alias("score"), F.lit(len(checks)).alias("checks"), final.alias("final_score"), F.when(final >= 80, "sufficient").when(final >= 60, "promising").otherwise("doubtful").alias("verdict"))
+
+
 def tier_order(tier: Column) -> Column:
     """SRT3: the known tiers in order, others last."""
     out = F.lit(len(TIERS))

@@ -108,11 +108,11 @@ def quality_score(checks: DataFrame, threshold: float = 0.8) -> DataFrame:
     return checks.agg(F.count("*").alias("n_checks"), _count(F.col("passed")).alias("n_passed"), F.round(score, 4).alias("score"), (score >= threshold).alias("passed"))
 
 
-def profile(df: DataFrame, exact_median: bool = True) -> DataFrame:
+def profile(df: DataFrame, exact_median: bool = False) -> DataFrame:
     """AGG10: one row a column: nulls, distinct values, moments of numbers, length of strings, top five values.
 
-    The exact median holds the counts of a column's distinct values in one task; for columns with very many
-    of them ``exact_median=False`` takes a quantile sketch instead.
+    The median is that of a quantile sketch; ``exact_median=True`` holds the counts of a column's distinct values in
+    one task, which columns with very many of them don't allow.
 
     One aggregation for all moments; values are counted by one more over (column, value) pairs, so that
     no column needs a pass of its own and no distinct set is held in a task.

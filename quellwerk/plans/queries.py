@@ -131,10 +131,13 @@ def _(spark, d):
     return long(spark, d).where(F.length("text") > 0).select("rec_id", "segment", F.length("text").cast("bigint").alias("n_chars"))
 
 
-@query("FIL9_empty_rate_alert", f"SELECT segment, round(avg(CASE WHEN {_N}=0 THEN 1.0 ELSE 0.0 END)*100,1) AS pct_empty FROM {_MELT} GROUP BY segment HAVING avg(CASE WHEN {_N}=0 THEN 1.0 ELSE 0.0 END)*100>1")
+_EMPTY_SQL = f"(SELECT segment, text FROM {_MELT} UNION ALL SELECT 'outlook', CASE WHEN rec_id%8=0 THEN '' ELSE seg_md_and_a END FROM synth_document)"
+
+
+@query("FIL9_empty_rate_alert", f"SELECT segment, round(avg(CASE WHEN {_N}=0 THEN 1.0 ELSE 0.0 END)*100,1) AS pct_empty FROM {_EMPTY_SQL} GROUP BY segment HAVING avg(CASE WHEN {_N}=0 THEN 1.0 ELSE 0.0 END)*100>10")
 def _(spark, d):
-    n = segments.chars(F.col("text"))
-    return long(spark, d).groupBy("segment").agg((F.avg((n == 0).cast("double")) * 100).alias("p")).where("p > 1").select("segment", F.round("p", 1).alias("pct_empty"))
+    x = docs(spark, d).withColumn("seg_outlook", F.when(F.col("rec_id") % 8 == 0, "").otherwise(F.col("seg_md_and_a")))  # planted: an eighth is empty
+    return segments.empty_alert(segments.melt(x, "rec_id"))
 
 
 @query("SRT3_tier_order", "SELECT DISTINCT quality_tier, CASE quality_tier WHEN 'perfect' THEN 0 WHEN 'near' THEN 1 WHEN 'moderate' THEN 2 WHEN 'severe' THEN 3 ELSE 4 END AS tier_order FROM synth_document")
@@ -162,39 +165,49 @@ def _(spark, d):
 
 # ---- flaws ----
 
+def _flaws_of(melt: str) -> str:
+    return _FLAW_SQL.replace(_MELT, melt, 1)
+
+
 _FLAW_SQL = f"""WITH t AS (SELECT rec_id::VARCHAR AS document_id, segment, text, quality_tier FROM {_MELT}),
  w AS (SELECT document_id, segment, list_filter(regexp_split_to_array(text,'\\s+'), lambda x: true) AS w FROM t WHERE coalesce(text,'')<>''),
  g AS (SELECT document_id, segment, unnest(list_transform(range(1, len(w)-1), lambda i: w[i]||' '||w[i+1]||' '||w[i+2])) AS g FROM w WHERE len(w)>=6),
- r AS (SELECT DISTINCT document_id, segment FROM (SELECT document_id, segment, g, count(*) AS n FROM g GROUP BY ALL) WHERE n>=3),
- f AS (SELECT document_id, segment, 'structural' AS flaw_type, 'empty_section' AS flaw_subtype, 'high' AS severity FROM t WHERE coalesce(text,'')=''
-  UNION ALL SELECT document_id, segment, 'structural','stub_section','medium' FROM t WHERE text<>'' AND length(text)<20
-  UNION ALL SELECT document_id, segment, 'formatting','garbled_characters','high' FROM t WHERE text<>'' AND regexp_matches(text,'�{{2,}}|[\\x{{92}}-\\x{{94}}]')
-  UNION ALL SELECT document_id, segment, 'encoding','non_jis_characters','high' FROM t WHERE text<>'' AND regexp_matches(text,'[\\x{{2e80}}-\\x{{2eff}}]')
-  UNION ALL SELECT document_id, segment, 'content','repetition','medium' FROM r
-  UNION ALL SELECT document_id, segment, 'generation','generation_failed','critical' FROM t WHERE contains(text,'[GENERATION_FAILED')
-  UNION ALL SELECT document_id, segment, 'disclosure','generic_language','low' FROM t WHERE contains(text,'当社は上記の通り') OR contains(text,'該当事項はありません') OR contains(text,'特記すべき事項はありません'))"""
+ r AS (SELECT document_id, segment, list_sort(list(g)) AS gs FROM (SELECT document_id, segment, g, count(*) AS n FROM g GROUP BY ALL) WHERE n>=3 GROUP BY 1,2),
+ f AS (SELECT document_id, segment, 'structural' AS flaw_type, 'empty_section' AS flaw_subtype, 'high' AS severity, 1.0::DOUBLE AS confidence, 'Section is completely empty' AS description, '<empty>' AS evidence FROM t WHERE coalesce(text,'')=''
+  UNION ALL SELECT document_id, segment, 'structural','stub_section','medium',0.9,'Section is suspiciously short (< 20 chars)',text FROM t WHERE text<>'' AND length(text)<20
+  UNION ALL SELECT document_id, segment, 'formatting','garbled_characters','high',0.85,'Detected garbled or replacement characters',substr(text,1,100) FROM t WHERE text<>'' AND regexp_matches(text,'�{{2,}}|[\\x{{92}}-\\x{{94}}]')
+  UNION ALL SELECT document_id, segment, 'encoding','non_jis_characters','high',0.7,'Possible Simplified Chinese characters in Japanese text',substr(text,1,200) FROM t WHERE text<>'' AND regexp_matches(text,'[\\x{{2e80}}-\\x{{2eff}}]')
+  UNION ALL SELECT document_id, segment, 'content','repetition','medium',0.6,'Repeated trigram(s) detected: '||len(gs)::VARCHAR||' unique',array_to_string(gs[1:3],'; ') FROM r
+  UNION ALL SELECT document_id, segment, 'generation','generation_failed','critical',1.0,'LLM generation failure sentinel detected',substr(text,1,200) FROM t WHERE contains(text,'[GENERATION_FAILED')
+  UNION ALL SELECT document_id, segment, 'disclosure','generic_language','low',0.5,'Generic boilerplate phrase detected',CASE WHEN contains(text,'当社は上記の通り') THEN '当社は上記の通り' WHEN contains(text,'該当事項はありません') THEN '該当事項はありません' ELSE '特記すべき事項はありません' END FROM t WHERE contains(text,'当社は上記の通り') OR contains(text,'該当事項はありません') OR contains(text,'特記すべき事項はありません'))"""
 
 
 def found_flaws(spark, d):
     return flaws.segment_flaws(long(spark, d, "rec_id").select(F.col("rec_id").cast("string").alias("document_id"), "segment", "text"))
 
 
-@query("FLW4_11_segment_flaws", _FLAW_SQL + " SELECT document_id, segment, flaw_type, flaw_subtype, severity FROM f")
+_NOTES = "(SELECT rec_id, document_id, quality_tier, error_rate, 'notes' AS segment, CASE rec_id%5 WHEN 0 THEN 'so it goes, so it goes, so it goes, so it goes on' WHEN 1 THEN 'no words come back here at all today' WHEN 2 THEN 'bad �� mark in the text here' ELSE seg_md_and_a END AS text FROM synth_document)"
+
+
+@query("FLW4_11_segment_flaws", _flaws_of(f"(SELECT * FROM {_MELT} UNION ALL SELECT * FROM {_NOTES})") + " SELECT document_id, segment, flaw_type, flaw_subtype, severity, confidence, description, evidence FROM f")
 def _(spark, d):
-    return found_flaws(spark, d).select("document_id", "segment", "flaw_type", "flaw_subtype", "severity")
+    k = F.col("rec_id") % 5
+    notes = F.when(k == 0, "so it goes, so it goes, so it goes, so it goes on").when(k == 1, "no words come back here at all today").when(k == 2, "bad \ufffd\ufffd mark in the text here").otherwise(F.col("seg_md_and_a"))
+    x = segments.melt(docs(spark, d).withColumn("seg_notes", notes), "rec_id")  # planted: rules that the tables themselves never meet
+    return flaws.segment_flaws(x.select(F.col("rec_id").cast("string").alias("document_id"), "segment", "text"))
 
 
-@query("FLW8_repeated_trigrams")
+@query("FLW8_repeated_trigrams", "SELECT doc_id, g AS trigram FROM (SELECT doc_id, unnest(list_transform(range(1, len(w)-1), lambda i: w[i]||' '||w[i+1]||' '||w[i+2])) AS g FROM (SELECT doc_id, regexp_split_to_array(text,'\\s+') AS w FROM documents WHERE text<>'') WHERE len(w)>=6) GROUP BY 1,2 HAVING count(*)>=3")
 def _(spark, d):
-    x = long(spark, d).where("text is not null and text != ''")
-    return x.select("rec_id", "segment", F.explode(flaws.repeated_trigrams(F.col("text"))).alias("trigram"))
+    x = read(spark, d, "documents", "doc_id", "text").where("text != ''")
+    return x.select("doc_id", F.explode(flaws.repeated_trigrams(F.col("text"))).alias("trigram"))
 
 
-@query("TXT25_trigrams", f"""SELECT segment, count(*) AS n_trigrams, count(DISTINCT g) AS n_different FROM (SELECT segment, unnest(list_transform(range(1, len(w)-1), lambda i: w[i]||' '||w[i+1]||' '||w[i+2])) AS g
-  FROM (SELECT segment, regexp_split_to_array(text,'\\s+') AS w FROM {_MELT} WHERE text IS NOT NULL) WHERE len(w)>=6) GROUP BY segment""")
+@query("TXT25_trigrams", """SELECT source, count(*) AS n_trigrams, count(DISTINCT g) AS n_different FROM (SELECT source, unnest(list_transform(range(1, len(w)-1), lambda i: w[i]||' '||w[i+1]||' '||w[i+2])) AS g
+  FROM (SELECT source, regexp_split_to_array(text,'\\s+') AS w FROM documents WHERE text IS NOT NULL) WHERE len(w)>=6) GROUP BY source""")
 def _(spark, d):
-    x = long(spark, d).select("segment", F.explode(text.trigrams(F.col("text"))).alias("g"))
-    return x.groupBy("segment").agg(F.count("*").alias("n_trigrams"), F.countDistinct("g").alias("n_different"))
+    x = read(spark, d, "documents", "source", "text").select("source", F.explode(text.trigrams(F.col("text"))).alias("g"))
+    return x.groupBy("source").agg(F.count("*").alias("n_trigrams"), F.countDistinct("g").alias("n_different"))
 
 
 @query("AGG19_flaws_by_type_severity", _FLAW_SQL + " SELECT flaw_type, severity, count(*) AS n FROM f GROUP BY 1,2")
@@ -244,16 +257,26 @@ def _(spark, d):
   s AS (SELECT sum(n) AS n, count(*) AS k, sum(n*m) AS s, sum(n*m*m) AS q, sum(n*v) AS w FROM gr)
   SELECT (k-1)::BIGINT AS df_between, (n-k)::BIGINT AS df_within, round(q-s*s/n,4) AS ss_between, round(w,4) AS ss_within, round(((q-s*s/n)/(k-1))/(w/(n-k)),4) AS f_statistic FROM s""")
 def _(spark, d):
-    return distributions.anova(per_document(spark, d), "quality_tier", "flaw_n")
+    return distributions.anova(per_document(spark, d), "quality_tier", "flaw_n").drop("p_value")
+
+
+@query("AGG5_anova_p_value")
+def _(spark, d):
+    return distributions.anova(per_document(spark, d), "quality_tier", "flaw_n").select("f_statistic", "p_value")
+
+
+_TIER_THERE = "(SELECT (count(quality_tier)>0)::INT FROM synth_document)"
 
 
-@query("AGG22_buyer_scorecard", _FLAW_SQL + f""", m AS (SELECT avg(a) AS m FROM (SELECT segment, avg({_N}) AS a FROM t GROUP BY 1)), c AS (SELECT count(*) FILTER (severity='critical')*100.0/(SELECT count(*) FROM synth_document) AS c FROM f)
-  SELECT (4>=6)::INT+(m>100)::INT+1+(c<5)::INT+(m>200)::INT AS score, 5 AS checks, round_even(((4>=6)::INT+(m>100)::INT+1+(c<5)::INT+(m>200)::INT)/5.0*100,0)::BIGINT AS final_score FROM m, c""")
+@query("AGG22_buyer_scorecard", _FLAW_SQL + f""", m AS (SELECT avg(a) AS m FROM (SELECT segment, avg({_N}) AS a FROM t GROUP BY 1)), c AS (SELECT count(*) FILTER (severity='critical')*100.0/(SELECT count(*) FROM synth_document) AS c FROM f),
+  x AS (SELECT ((SELECT count(DISTINCT segment) FROM t)>=6)::INT+(m>100)::INT+{_TIER_THERE}+(c<5)::INT+(m>200)::INT AS score FROM m, c), y AS (SELECT score, 5 AS checks, round_even(score/5.0*100,0)::BIGINT AS final_score FROM x)
+  SELECT *, CASE WHEN final_score>=80 THEN 'sufficient' WHEN final_score>=60 THEN 'promising' ELSE 'doubtful' END AS verdict FROM y""")
 def _(spark, d):
-    n = segments.length_stats(long(spark, d), None).agg(F.avg("mean").alias("m"))
-    c = found_flaws(spark, d).agg(F.count_if(F.col("severity") == "critical").alias("k")).crossJoin(docs(spark, d).agg(F.count("*").alias("n")))
-    score = sum((x.cast("int") for x in (F.lit(len(_SEGS) >= 6), F.col("m") > 100, F.lit(True), F.col("k") * 100 / F.col("n") < 5, F.col("m") > 200)), F.lit(0))
-    return n.crossJoin(c).select(score.alias("score"), F.lit(5).alias("checks"), F.bround(score / 5 * 100).cast("bigint").alias("final_score"))
+    n = segments.length_stats(long(spark, d), None).agg(F.avg("mean").alias("m"), F.count("*").alias("n_segments"))
+    own = docs(spark, d).agg(F.count("*").alias("n"), F.count("quality_tier").alias("n_tiers"))
+    c = found_flaws(spark, d).agg(F.count_if(F.col("severity") == "critical").alias("k"))
+    one = n.crossJoin(c).crossJoin(own)  # one row each
+    return segments.buyer_scorecard(one)
 
 
 @query("FLW1_3_filing_flaws")
@@ -283,25 +306,43 @@ def _(spark, d):
     return flaws.taxonomy(flaws.filing_flaws(p), p.count())
 
 
+_JA_MENTIONS = ["届出書に記載漏れがある。", "申請書の署名がない。", "金額の誤りがあり、理由と矛盾する。", "記載が不十分である。", "両者の説明には食い違いがある。", ""]
+_JA_TEXT = "(SELECT rec_id, full_text||list_extract([" + ",".join(f"'{x}'" for x in _JA_MENTIONS) + f"],(rec_id%{len(_JA_MENTIONS)}+1)::INT) AS full_text FROM jp_case_detail)"
+
+
+def mentioning(spark, d):
+    """Whole texts with a planted sentence each: the tables themselves mention none of these flaws."""
+    x = read(spark, d, "jp_case_detail", "rec_id", "full_text")
+    return x.select("rec_id", F.concat("full_text", F.element_at(F.array(*map(F.lit, _JA_MENTIONS)), (F.col("rec_id") % len(_JA_MENTIONS) + 1).cast("int"))).alias("full_text"))
+
+
 @query("AGG9_court_taxonomy_ja")
 def _(spark, d):
-    x = read(spark, d, "jp_case_detail", "rec_id", "full_text")
-    return flaws.court_taxonomy(flaws.mentions(x, P.JP_FLAWS, 50, False))
+    return flaws.court_taxonomy(flaws.mentions(mentioning(spark, d), P.JP_FLAWS, 50, False))
 
 
 @query("TXT12_de_flaw_mentions", "SELECT type, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS type, unnest(regexp_extract_all(full_text, '(?i){p}')) AS m FROM de_case_detail" for p, t in P.DE_FLAWS) + ") GROUP BY 1")
 def _(spark, d):
-    return flaws.mentions(read(spark, d, "de_case_detail", "rec_id", "full_text"), P.DE_FLAWS, 80, True).groupBy("type").agg(F.count("*").alias("n"))
+    return flaws.mention_counts(read(spark, d, "de_case_detail", "full_text"), P.DE_FLAWS, True)
 
 
-@query("TXT12_de_flaw_contexts")
+@query("TXT13_jp_flaw_mentions", "SELECT type, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS type, unnest(regexp_extract_all(full_text, '{p}')) AS m FROM {_JA_TEXT}" for p, t in P.JP_FLAWS) + ") GROUP BY 1")
 def _(spark, d):
-    return flaws.mentions(read(spark, d, "de_case_detail", "rec_id", "full_text"), P.DE_FLAWS, 80, True)
+    return flaws.mention_counts(mentioning(spark, d), P.JP_FLAWS, False)
+
+
+_PLAN = ["The plan failed to specify the support.", "There is no clear outcome, and the annual review was not completed.", "The wording is plain."]
 
 
-@query("TXT13_jp_flaw_mentions", "SELECT type, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS type, unnest(regexp_extract_all(full_text, '{p}')) AS m FROM jp_case_detail" for p, t in P.JP_FLAWS) + ") GROUP BY 1")
+@query("TXT30_plan_flaws", "WITH x AS (SELECT concat_ws(' ',text,list_extract([" + ",".join(f"'{x}'" for x in _PLAN) + "],(doc_id%3+1)::INT)) AS full_text FROM documents) SELECT type, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS type, unnest(regexp_extract_all(full_text, '(?i){p}')) AS m FROM x" for p, t in P.PLAN_FLAWS) + ") GROUP BY 1")
 def _(spark, d):
-    return flaws.mentions(read(spark, d, "jp_case_detail", "rec_id", "full_text"), P.JP_FLAWS, 50, False).groupBy("type").agg(F.count("*").alias("n"))
+    planted = F.element_at(F.array(*map(F.lit, _PLAN)), (F.col("doc_id") % 3 + 1).cast("int"))
+    return flaws.mention_counts(read(spark, d, "documents", "doc_id", "text").select(F.concat_ws(" ", "text", planted).alias("full_text")), P.PLAN_FLAWS, True)
+
+
+@query("TXT12_de_flaw_contexts")
+def _(spark, d):
+    return flaws.mentions(read(spark, d, "de_case_detail", "rec_id", "full_text"), P.DE_FLAWS, 80, True)
 
 
 # ---- distributions ----
@@ -327,6 +368,22 @@ def _(spark, d):
     return distributions.fit_lengths(long(spark, d).withColumn("n_chars", segments.chars(F.col("text"))), "segment", "n_chars")
 
 
+_CDF = "CASE WHEN {0}>=0 THEN 1-{1} ELSE {1} END"
+_TAIL = "(0.3989422804014327*exp(-{0}*{0}/2)*{1}*(0.319381530+{1}*(-0.356563782+{1}*(1.781477937+{1}*(-1.821255978+{1}*1.330274429)))))"
+
+
+def _cdf_sql(z: str) -> str:
+    return _CDF.format(z, _TAIL.format(z, f"(1/(1+0.2316419*abs({z})))"))
+
+
+@query("AGG7_fit_distances", f"""WITH v AS (SELECT segment, {_N}::DOUBLE AS x FROM {_MELT} WHERE {_N}>0), s AS (SELECT segment, count(*) AS n, avg(x) AS m, stddev_pop(x) AS sd, avg(ln(x)) AS lm, stddev_pop(ln(x)) AS lsd FROM v GROUP BY 1),
+  c AS (SELECT segment, x, count(*) AS k, sum(count(*)) OVER (PARTITION BY segment ORDER BY x) AS c FROM v GROUP BY 1,2),
+  z AS (SELECT segment, n, k, c, (x-m)/greatest(sd,1e-300) AS a, (ln(x)-lm)/greatest(lsd,1e-300) AS b FROM c JOIN s USING (segment)), p AS (SELECT segment, n, k, c, {_cdf_sql("a")} AS pa, {_cdf_sql("b")} AS pb FROM z)
+  SELECT segment, round(max(greatest(abs(c/n-pa),abs((c-k)/n-pa))),4) AS ks_normal, round(max(greatest(abs(c/n-pb),abs((c-k)/n-pb))),4) AS ks_lognormal FROM p WHERE n>=10 GROUP BY segment""")
+def _(spark, d):
+    return distributions.fit_ks(long(spark, d).withColumn("n_chars", segments.chars(F.col("text"))), "segment", "n_chars")
+
+
 @query("JOIN10_shared_segments", "SELECT key AS segment FROM (SELECT DISTINCT unnest(map_keys(segments)) AS key FROM parsed_document) WHERE key IN (" + ",".join(f"'{c[4:]}'" for c in _SEGS) + ")")
 def _(spark, d):
     own = spark.createDataFrame([(c[4:],) for c in _SEGS], "segment string")
@@ -378,11 +435,11 @@ _NUM = ["c_custkey", "c_nationkey", "c_acctbal"]
 
 @query("AGG10_column_profile", " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS null_count, round(avg(({c} IS NULL)::INT),4) AS null_ratio, count(DISTINCT {c}) AS unique_count, "
-    + (f"round(avg({c}),4) AS mean, round(stddev({c}),4) AS std, round(min({c})::DOUBLE,4) AS min, round(max({c})::DOUBLE,4) AS max, round(median({c})::DOUBLE,4) AS median, NULL::DOUBLE AS avg_length" if c in _NUM
-       else f"NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, round(avg(length({c})),1)") + " FROM customer" for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")))
+    + (f"round(avg({c}),4) AS mean, round(stddev({c}),4) AS std, round(min({c})::DOUBLE,4) AS min, round(max({c})::DOUBLE,4) AS max, NULL::DOUBLE AS avg_length" if c in _NUM
+       else f"NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, round(avg(length({c})),1)") + " FROM customer" for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")))
 def _(spark, d):
     p = validation.profile(read(spark, d, "customer"))
-    return p.select("column", "null_count", "null_ratio", "unique_count", "mean", "std", "min", "max", "median", "avg_length")
+    return p.select("column", "null_count", "null_ratio", "unique_count", "mean", "std", "min", "max", "avg_length")
 
 
 @query("LIM3_top5_values", "SELECT value, n FROM (SELECT c_mktsegment AS value, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) AS r FROM customer GROUP BY 1) WHERE r<=5")
@@ -410,11 +467,21 @@ def _html_sql(x: str) -> str:
     return f"regexp_replace(regexp_replace(regexp_replace({x},'[ \\t]+',' ','g'),'\\n{{3,}}',chr(10)||chr(10),'g'),'^[\\s　]+|[\\s　]+$','','g')"
 
 
-@query("TXT1_html_to_text", f"SELECT rec_id, {_html_sql('h')} AS text FROM (SELECT rec_id, content::BLOB AS c, decode(content) AS h FROM http_response WHERE content IS NOT NULL AND status_code<>304 AND rec_id IN (SELECT rec_id FROM http_response WHERE try(decode(content)) IS NOT NULL AND starts_with(try(decode(content)),'<')))")
+_PAGE_SQL = "(SELECT rec_id, '<html><style>p {x}</style><body><h1>'||coalesce(case_title,'')||'</h1><p>'||replace(full_text,chr(10),'<br/>')||'</p><script>var a = 1 < 2;</script><td>&amp;&nbsp;x</td></body></html>' AS h FROM jp_case_detail WHERE full_text IS NOT NULL)"
+
+
+@query("TXT1_html_to_text", f"SELECT rec_id, {_html_sql('h')} AS text FROM {_PAGE_SQL}")
 def _(spark, d):
-    x = read(spark, d, "http_response", "rec_id", "content", "status_code").where("content is not null and status_code != 304")
-    h = F.col("content").cast("string")
-    return x.where(F.is_valid_utf8(h) & h.startswith("<")).select("rec_id", text.html_to_text(h).alias("text"))
+    x = read(spark, d, "jp_case_detail", "rec_id", "case_title", "full_text").where("full_text is not null")
+    h = F.concat(F.lit("<html><style>p {x}</style><body><h1>"), F.coalesce("case_title", F.lit("")), F.lit("</h1><p>"), F.replace("full_text", F.lit("\n"), F.lit("<br/>")), F.lit("</p><script>var a = 1 < 2;</script><td>&amp;&nbsp;x</td></body></html>"))
+    return x.select("rec_id", text.html_to_text(h).alias("text"))
+
+
+@query("TXT1_2_response_texts")
+def _(spark, d):
+    """Every response with content, in whatever encoding."""
+    x = read(spark, d, "http_response", "rec_id", "content").where("content is not null")
+    return files.decode_japanese(x, "content").select("rec_id", text.html_to_text(F.col("text")).alias("text"))
 
 
 @query("TXT2_charset_fallback")
@@ -529,10 +596,32 @@ def _(spark, d):
     return read(spark, d, "de_case_detail", "rec_id", "decision_date").select("rec_id", text.japanese_era(F.col("decision_date")).alias("e")).select("rec_id", "e.*")
 
 
-@query("SRC15_17_parse_german_result", "SELECT rec_id, regexp_extract(full_text,'(BGH|BVerfG|OLG|LG|AG|BAG|BVerwG|BSG|BFH)\\s+[\\w\\-]+') AS court, regexp_extract(full_text,'\\d{2}\\.\\d{2}\\.\\d{4}') AS decision_date FROM de_case_detail WHERE full_text IS NOT NULL")
+@query("SRC17_parse_german_result", "SELECT rec_id, regexp_extract(t,'(BGH|BVerfG|OLG|LG|AG|BAG|BVerwG|BSG|BFH)\\s+[\\w\\-]+') AS court, regexp_extract(t,'\\d{2}\\.\\d{2}\\.\\d{4}') AS decision_date, regexp_extract(t,'(?:Az\\.?:?\\s*)?((?:I+V?|VI+|XI+|XI?I?)\\s+Z[RB]\\s+\\d+/\\d+|\\d+\\s+[A-Z]\\s+\\d+/\\d+)',1) AS aktenzeichen FROM (SELECT rec_id, concat_ws(' ',court,aktenzeichen,full_text) AS t FROM de_case_detail)")
 def _(spark, d):
-    x = read(spark, d, "de_case_detail", "rec_id", "full_text").where("full_text is not null")
-    return x.select("rec_id", pages.german_result(F.col("full_text")).alias("r")).select("rec_id", "r.court", "r.decision_date")
+    x = read(spark, d, "de_case_detail", "rec_id", "court", "aktenzeichen", "full_text")
+    return x.select("rec_id", pages.german_result(F.concat_ws(" ", "court", "aktenzeichen", "full_text")).alias("r")).select("rec_id", "r.*")
+
+
+@query("SRC15_list_pages", "SELECT rec_id, regexp_extract(u,'[?&]id=([^&]*)',1) AS id, (rec_id%4)::VARCHAR AS page FROM (SELECT rec_id, url||CASE WHEN contains(url,'?') THEN '&' ELSE '?id=' END||'page='||(rec_id%4)::VARCHAR AS u FROM jp_case_detail WHERE url IS NOT NULL AND contains(url,'?id='))")
+def _(spark, d):
+    x = read(spark, d, "jp_case_detail", "rec_id", "url").where("contains(url, '?id=')").withColumn("u", F.concat("url", F.lit("&page="), (F.col("rec_id") % 4).cast("string")))
+    return x.select("rec_id", pages.query_parameter(F.col("u"), "id").alias("id"), pages.query_parameter(F.col("u"), "page").alias("page"))
+
+
+@query("SRC16_first_full_text", "SELECT rec_id, CASE WHEN length(tenor)>200 THEN tenor WHEN length(tatbestand)>200 THEN tatbestand WHEN length(gruende)>200 THEN gruende WHEN length(tenor)>=100 THEN tenor WHEN length(tatbestand)>=100 THEN tatbestand WHEN length(gruende)>=100 THEN gruende ELSE full_text END AS text FROM de_case_detail")
+def _(spark, d):
+    x = read(spark, d, "de_case_detail", "rec_id", "tenor", "tatbestand", "gruende", "full_text")
+    return x.select("rec_id", pages.first_full_text([F.col("tenor"), F.col("tatbestand"), F.col("gruende")], F.col("full_text")).alias("text"))
+
+
+_IS_DATE = "(regexp_matches(c,'^(?:令和|平成|昭和)?\\d{1,4}年\\d{1,2}月\\d{1,2}日') OR regexp_matches(c,'^\\d{4}/\\d{1,2}/\\d{1,2}'))"
+_IS_COURT = f"(NOT {_IS_DATE} AND regexp_matches(c,'裁判所|最高裁|高裁|地裁|簡裁|家裁'))"
+
+
+@query("SRC18_classify_cells", f"SELECT rec_id, list_filter(l, lambda c: {_IS_DATE})[-1] AS decision_date, list_filter(l, lambda c: {_IS_COURT})[-1] AS court, list_filter(l, lambda c: NOT {_IS_DATE} AND NOT {_IS_COURT} AND regexp_matches(c,'^(?:令和|平成|昭和)?\\d{{1,4}}[（(].+[）)]\\d+'))[-1] AS case_number FROM (SELECT rec_id, [coalesce(court,''),replace(replace(coalesce(case_number,''),'年',''),'第',''),coalesce(decision_date,'')] AS l FROM jp_case_detail)")
+def _(spark, d):
+    x = read(spark, d, "jp_case_detail", "rec_id", "court", "case_number", "decision_date").withColumn("case_number", F.translate("case_number", "年第", ""))  # the form of a search page
+    return x.select("rec_id", pages.classify_cells(F.array(*[F.coalesce(c, F.lit("")) for c in ("court", "case_number", "decision_date")])).alias("c")).select("rec_id", "c.*")
 
 
 @query("SRC18_case_id", "SELECT rec_id, coalesce(nullif(regexp_extract(url,'/hanrei/(\\d+)/detail',1),''),nullif(regexp_extract(url,'[?&]id=(\\d+)',1),''),nullif(regexp_extract(url,'detail(\\d+)',1),''),url) AS id FROM jp_case_detail")
@@ -555,9 +644,10 @@ def _(spark, d):
     return files.resume(read(spark, d, "document_record", "rec_id", "source_id"), done)
 
 
-@query("FIL4_JOIN8_rule_applicability", "SELECT segment, count(*) AS n FROM (SELECT unnest(map_keys(segments)) AS segment, unnest(map_values(segments)) AS t FROM parsed_document) WHERE regexp_matches(t,'一般的に|通常|一般論として|概して') AND segment='business_risks' GROUP BY 1")
+@query("FIL4_JOIN8_rule_applicability", "SELECT segment, count(*) AS n FROM (SELECT segment, CASE WHEN rec_id%3=0 THEN t||'一般的に影響がある。' ELSE t END AS t FROM (SELECT rec_id, unnest(map_keys(segments)) AS segment, unnest(map_values(segments)) AS t FROM parsed_document)) WHERE regexp_matches(t,'一般的に|通常|一般論として|概して') AND segment='business_risks' GROUP BY 1")
 def _(spark, d):
-    x = read(spark, d, "parsed_document", "segments").select(F.explode("segments").alias("segment", "t"))
+    x = read(spark, d, "parsed_document", "rec_id", "segments").select("rec_id", F.explode("segments").alias("segment", "t"))
+    x = x.withColumn("t", F.when(F.col("rec_id") % 3 == 0, F.concat("t", F.lit("一般的に影響がある。"))).otherwise(F.col("t")))  # planted
     return x.where((F.col("segment") == "business_risks") & F.col("t").rlike("一般的に|通常|一般論として|概して")).groupBy("segment").agg(F.count("*").alias("n"))
 
 
@@ -589,10 +679,11 @@ def _(spark, d):
     return read(spark, d, "synth_document", "rec_id", "quality_tier").join(dim, "quality_tier", "left").select("rec_id", "quality_tier", "expected_pct")
 
 
-@query("JOIN7_positional", "SELECT s.document_id, c.c_name FROM (SELECT document_id, rec_id FROM synth_document) s LEFT JOIN customer c ON c.c_custkey=s.rec_id")
+@query("JOIN7_positional", "SELECT s.document_id, c.c_name FROM (SELECT document_id, row_number() OVER (ORDER BY rec_id) AS i FROM synth_document) s LEFT JOIN (SELECT c_name, row_number() OVER (ORDER BY c_custkey DESC) AS i FROM customer) c USING (i)")
 def _(spark, d):
-    seeds = read(spark, d, "customer", "c_custkey", "c_name").withColumnRenamed("c_custkey", "rec_id")
-    return read(spark, d, "synth_document", "document_id", "rec_id").join(seeds, "rec_id", "left").select("document_id", "c_name")
+    x = generation.number_in_order(read(spark, d, "synth_document", "document_id", "rec_id"), F.col("rec_id"), "i")
+    seeds = generation.number_in_order(read(spark, d, "customer", "c_custkey", "c_name"), -F.col("c_custkey"), "i")
+    return x.join(seeds, "i", "left").select("document_id", "c_name")
 
 
 @query("JOIN11_parsed_and_listed", "SELECT DISTINCT r.source_id FROM document_record r WHERE r.source_id IN (SELECT doc_id FROM parsed_document WHERE parsed)")
@@ -648,9 +739,9 @@ def _(spark, d):
     return read(spark, d, "de_case_detail", "source").rollup("source").agg(F.count("*").alias("n")).select(F.coalesce("source", F.lit("total")).alias("product"), "n")
 
 
-@query("AGG18_verification_summary", _FLAW_SQL + ", x AS (SELECT s.rec_id, s.quality_tier, EXISTS (SELECT 1 FROM f WHERE f.document_id=s.rec_id::VARCHAR) AS det FROM synth_document s WHERE s.error_rate>0) SELECT coalesce(quality_tier,'all') AS planted_in, count(*) AS planted, count(*) FILTER (det) AS detected, round(count(*) FILTER (det)/count(*),4) AS survival_rate FROM x WHERE quality_tier IS NOT NULL GROUP BY ROLLUP (quality_tier)")
+@query("AGG18_verification_summary", _FLAW_SQL + ", x AS (SELECT s.rec_id, coalesce(s.quality_tier,'(none)') AS quality_tier, EXISTS (SELECT 1 FROM f WHERE f.document_id=s.rec_id::VARCHAR) AS det FROM synth_document s WHERE s.error_rate>0) SELECT coalesce(quality_tier,'all') AS planted_in, count(*) AS planted, count(*) FILTER (det) AS detected, round(count(*) FILTER (det)/count(*),4) AS survival_rate FROM x GROUP BY ROLLUP (quality_tier)")
 def _(spark, d):
-    p = per_document(spark, d).join(docs(spark, d).select(F.col("rec_id").cast("string").alias("document_id"), "error_rate"), "document_id").where("error_rate > 0 and quality_tier is not null")
+    p = per_document(spark, d).join(docs(spark, d).select(F.col("rec_id").cast("string").alias("document_id"), "error_rate"), "document_id").where("error_rate > 0").fillna("(none)", ["quality_tier"])
     det = F.count_if(F.col("flaw_n") > 0)
     return p.rollup("quality_tier").agg(F.count("*").alias("planted"), det.alias("detected"), F.round(det / F.count("*"), 4).alias("survival_rate")).select(F.coalesce("quality_tier", F.lit("all")).alias("planted_in"), "planted", "detected", "survival_rate")
 
@@ -728,18 +819,24 @@ def _(spark, d):
     return c.select("c_custkey", text.fill_template("{c_name} <{c_mktsegment}>", c.columns).alias("label"))
 
 
+@query("TXT21_raw_template", "SELECT c_custkey, '{c_name} <{segment}>' AS label FROM customer")
+def _(spark, d):
+    c = read(spark, d, "customer", "c_custkey", "c_name")
+    return c.select("c_custkey", text.fill_template("{c_name} <{segment}>", c.columns, raw_if_unknown=True).alias("label"))
+
+
 @query("GEN1_12_table")
 def _(spark, d):
     cols = [
         {"name": "nr", "type": "id", "prefix": "TEST-"}, {"name": "form", "type": "categorical", "values": P.LEGAL_FORMS}, {"name": "umsatz", "type": "numeric", "distribution": "lognormal", "mean": 13.0, "std": 1.5, "low": 10_000, "high": 50_000_000, "decimals": 0},
         {"name": "seit", "type": "datetime"}, {"name": "aktiv", "type": "boolean", "null_ratio": 0.1}, {"name": "text", "type": "text"}, {"name": "satz", "type": "text", "generator": "template", "template": "{nr}: {form}"},
     ]
-    return generation.table_from(spark, 1000, cols)
+    return generation.table_from(spark, 50_000, cols)
 
 
 @query("GEN13_gaussian_copula")
 def _(spark, d):
-    return generation.gaussian_copula(read(spark, d, "lineitem", "l_quantity", "l_extendedprice", "l_discount"), ["l_quantity", "l_extendedprice", "l_discount"], 2000)
+    return generation.gaussian_copula(read(spark, d, "lineitem", "l_quantity", "l_extendedprice", "l_discount"), ["l_quantity", "l_extendedprice", "l_discount"], 50_000)
 
 
 @query("GEN15_augment")
@@ -770,10 +867,11 @@ def _(spark, d):
     return sampling.train_test_split(read(spark, d, "synth_document", "rec_id", "quality_tier"), key="rec_id", by="quality_tier")
 
 
-@query("SMP2_shuffle_numbers")
+@query("SMP2_shuffle_numbers", f"SELECT rec_id, row_number() OVER (ORDER BY ('0x'||substr(md5('42:'||rec_id::VARCHAR),1,8))::BIGINT, rec_id) AS position FROM synth_document")
 def _(spark, d):
     x = read(spark, d, "synth_document", "rec_id")
-    return generation.number(x, F.xxhash64("rec_id", F.lit(42)), "position")
+    # The top bits of the order choose the bucket: 32 bits of the hash, moved up.
+    return generation.number(x, F.shiftleft(F.conv(F.substring(F.md5(F.concat(F.lit("42:"), F.col("rec_id").cast("string"))), 1, 8), 16, 10).cast("bigint"), 31), "position")
 
 
 @query("SMP3_sample_from_pool", f"SELECT c_custkey, ['a','b','c','d','e'][(floor({_u(5, 'c_custkey::VARCHAR')}*5)+1)::INT] AS pick FROM customer")
@@ -817,6 +915,8 @@ def watches(spark):
     return spark.createDataFrame([("click", "housing", 1), ("error", "news", 2), ("signup", "filings", 3), ("click", "news", 4)], "url string, product string, seq long")
 
 
+#: An example of a routing config: product, urgency, channels.
+ROUTES = [("news", "P0", ["email", "pager"]), ("news", "P1", ["email"]), ("news", "P2", ["weekly_digest"]), ("filings", "P0", ["pager"]), ("filings", "P3", ["log_only", "archive"])]
 _WATCH = "(VALUES ('click','news'),('error','news'),('signup','filings')) AS w(url, product)"
 
 
@@ -830,7 +930,7 @@ def _(spark, d):
     return changes.deduplicate(change_events(spark, d)).select("dedup_hash")
 
 
-_ROUTE_SQL = "(VALUES " + ",".join(f"('{p}','{u}',[{','.join(repr(c) for c in cs)}])" for p, u, cs in P.ROUTES) + ") AS r(product, urgency, channels)"
+_ROUTE_SQL = "(VALUES " + ",".join(f"('{p}','{u}',[{','.join(repr(c) for c in cs)}])" for p, u, cs in ROUTES) + ") AS r(product, urgency, channels)"
 
 
 @query("STR3_5_route_channels", f"""SELECT seq, product, urgency, unnest(coalesce(channels,['log_only'])) AS channel FROM (SELECT e.event_id AS seq, w.product, CASE e.user_id%5 WHEN 0 THEN 'P0' WHEN 1 THEN 'P1' WHEN 2 THEN 'P2' WHEN 3 THEN 'P3' ELSE 'PX' END AS urgency FROM events e JOIN {_WATCH} ON e.event_type=w.url) LEFT JOIN {_ROUTE_SQL} USING (product, urgency)""")
@@ -838,7 +938,7 @@ def _(spark, d):
     x = changes.admit(change_events(spark, d), watches(spark))
     k = F.col("diff").cast("bigint") % 5
     x = x.withColumn("urgency", F.when(k == 0, "P0").when(k == 1, "P1").when(k == 2, "P2").when(k == 3, "P3").otherwise("PX")).withColumn("parse_error", F.lit(False))
-    return changes.route(x).select("seq", "product", "urgency", "channel")
+    return changes.route(x, ROUTES).select("seq", "product", "urgency", "channel")
 
 
 @query("TXT22_triage", """SELECT event_id, CASE WHEN event_id%3=2 THEN 'UNCLEAR' ELSE 'RELEVANT' END AS relevance, CASE WHEN event_id%3=2 THEN 'P2' ELSE 'P1' END AS urgency, event_id%3=2 AS parse_error FROM events""")
@@ -850,7 +950,7 @@ def _(spark, d):
 
 @query("TXT27_SNK13_notifications")
 def _(spark, d):
-    return changes.notifications(changes.route(changes.classify(changes.admit(change_events(spark, d), watches(spark)))))
+    return changes.notifications(changes.route(changes.classify(changes.admit(change_events(spark, d), watches(spark))), ROUTES))
 
 
 @query("STR6_AGG13_digest", f"""WITH x AS (SELECT w.product, CASE e.user_id%4 WHEN 0 THEN 'P0' WHEN 1 THEN 'P1' WHEN 2 THEN 'P2' ELSE 'P3' END AS u, e.ts FROM events e JOIN {_WATCH} ON e.event_type=w.url), m AS (SELECT max(ts) AS t FROM events)
@@ -862,10 +962,10 @@ def _(spark, d):
     return changes.digest(x, str(e.agg(F.max("ts")).first()[0])).drop("summary")
 
 
-@query("STR6_weekly_counts")
+@query("STR6_weekly_counts", f"SELECT time_bucket(INTERVAL 7 DAY, e.ts, TIMESTAMP '1970-01-01') AS week, w.product, 'P3' AS urgency, count(*) AS n FROM events e JOIN {_WATCH} ON e.event_type=w.url GROUP BY 1,2")
 def _(spark, d):
     x = changes.classify(changes.admit(change_events(spark, d), watches(spark)))
-    return changes.weekly_counts(x).select(F.col("window.start").alias("week"), "product", "urgency", "n")
+    return changes.weekly_counts(x).select(F.col("window.start").cast("timestamp_ntz").alias("week"), "product", "urgency", "n")
 
 
 @query("SRT1_newest_first", "SELECT event_id AS seq, event_type AS url FROM events ORDER BY event_id DESC LIMIT 50")
@@ -889,13 +989,18 @@ def _(spark, d):
     return taxonomy_json(flaws.taxonomy(flaws.filing_flaws(p), n), "filings", n)
 
 
-@query("RAG1_articles")
+@query("RAG1_articles", """SELECT doc_id, part::INT AS part, body FROM (SELECT doc_id, unnest([0,1,2]) AS part, unnest(['Article '||doc_id::VARCHAR||': Scope'||chr(10)||source||chr(10),'Recital 7: '||lang||chr(10),'Article 12: End']) AS body FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL
+  UNION ALL SELECT doc_id, 0, 'No header' FROM documents WHERE source IS NULL OR lang IS NULL)""")
 def _(spark, d):
-    return read(spark, d, "documents", "doc_id", "text").select("doc_id", F.posexplode(text_parts()).alias("part", "body"))
+    x = read(spark, d, "documents", "doc_id", "source", "lang")
+    law = F.concat(F.lit("Article "), F.col("doc_id").cast("string"), F.lit(": Scope\n"), "source", F.lit("\nRecital 7: "), "lang", F.lit("\nArticle 12: End"))  # null where a field is
+    return x.select("doc_id", F.posexplode(retrieval.articles(F.coalesce(law, F.lit("No header")))).alias("part", "body"))
 
 
-def text_parts():
-    return retrieval.articles(F.col("text"))
+@query("RAG3_embed")
+def _(spark, d):
+    x = retrieval.embed(read(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
+    return x.select("doc_id", F.size("embedding").alias("n"), F.round(F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double") * v), 4).alias("length"))
 
 
 @query("RAG2_WIN4_chunks", """SELECT doc_id, i AS chunk_index, i*450 AS start, len(list_slice(w,i*450+1,i*450+500))::BIGINT AS n_words FROM (SELECT doc_id, w, unnest(range(0, greatest(0,ceil((len(w)-500)/450.0))::BIGINT+1)) AS i FROM (SELECT doc_id, list_filter(regexp_split_to_array(trim(text),'\\s+'), lambda x: x<>'') AS w FROM documents) WHERE len(w)>0)""")

@@ -44,14 +44,18 @@ def schema_json(tables: dict[str, DataFrame]) -> dict:
     return {t: [{"name": f.name, "type": f.dataType.simpleString(), "nullable": f.nullable} for f in df.schema] for t, df in tables.items()}
 
 
+def statistics(tables: dict[str, DataFrame]) -> dict:
+    """SNK4: rows, columns and the profile of each table, one row a column."""
+    return {t: {"row_count": df.count(), "column_count": len(df.columns), "columns": [r.asDict() for r in profile(df).collect()]} for t, df in tables.items()}
+
+
 def package(tables: dict[str, DataFrame], folder: str, name: str, license_text: str = "", config: dict | None = None) -> dict:
     """SNK3-SNK6, AGG26: schema, statistics, datasheet, licence, config, archive and ``latest``. Profiles are one row a column."""
     root = Path(folder) / name
     root.mkdir(parents=True, exist_ok=True)
-    stats = {}
     for t, df in tables.items():
         write_table(df, str(root / t), jsonl=False)
-        stats[t] = {"row_count": df.count(), "column_count": len(df.columns), "columns": [r.asDict() for r in profile(df).collect()]}
+    stats = statistics(tables)
     (root / "schema.json").write_text(json.dumps(schema_json(tables), ensure_ascii=False, indent=2), encoding="utf-8")
     (root / "statistics.json").write_text(json.dumps(stats, ensure_ascii=False, indent=2, default=str), encoding="utf-8")
     total = sum(s["row_count"] for s in stats.values())

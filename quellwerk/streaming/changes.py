@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quellwerk.functions.patterns import ROUTES
 from quellwerk.functions.text import dedup_hash, triage
 
 CHANGE = "url string, watch_uuid string, current_snapshot string, previous_snapshot string, diff string, ts timestamp"
@@ -51,10 +50,11 @@ def classify(events: DataFrame, answer=None) -> DataFrame:
     return events.withColumn("__t", t).select(*events.columns, F.col("__t.result.relevance").alias("relevance"), F.col("__t.result.urgency").alias("urgency"), F.col("__t.result.summary").alias("summary"), F.col("__t.result.recommended_action").alias("recommended_action"), F.col("__t.parse_error").alias("parse_error"))
 
 
-def route(classified: DataFrame, routes: list[tuple[str, str, list[str]]] | None = None) -> DataFrame:
-    """STR4, STR5, JOIN5: one row a channel; an unknown urgency goes to log_only, a parse error to email as well."""
+def route(classified: DataFrame, routes: list[tuple[str, str, list[str]]]) -> DataFrame:
+    """STR4, STR5, JOIN5: one row a channel by routes(product, urgency, channels) of a config; what has no route goes to
+    log_only, a parse error to email as well."""
     spark = classified.sparkSession
-    dim = F.broadcast(spark.createDataFrame(routes or ROUTES, "product string, urgency string, channels array<string>"))
+    dim = F.broadcast(spark.createDataFrame(list(routes), "product string, urgency string, channels array<string>"))
     x = classified.withColumn("urgency", F.coalesce("urgency", F.lit("P3"))).join(dim, ["product", "urgency"], "left")
     channels = F.coalesce("channels", F.array(F.lit("log_only")))
     return x.withColumn("channel", F.explode(F.when(F.coalesce("parse_error", F.lit(False)), F.array_union(channels, F.array(F.lit("email")))).otherwise(channels))).drop("channels")
@@ -99,7 +99,7 @@ def weekly_counts(events: DataFrame) -> DataFrame:
     return x.groupBy(F.window("ts", "7 days"), "product", "urgency").agg(F.count("*").alias("n"))
 
 
-def start(events: DataFrame, watches: DataFrame, out: str, checkpoint: str, deliver: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
+def start(events: DataFrame, watches: DataFrame, out: str, checkpoint: str, deliver: Callable[[DataFrame], None] | None = None, routes: list[tuple[str, str, list[str]]] = ()) -> StreamingQuery:
     """STR4, STR5, STR7: the whole stream: each micro-batch goes to the log by product, then to its channels.
 
     Progress is in ``checkpoint``: a restart goes on where it stopped. Files of a batch are written under
@@ -112,6 +112,6 @@ def start(events: DataFrame, watches: DataFrame, out: str, checkpoint: str, deli
         rows.write.mode("overwrite").partitionBy("product").json(path)
         if deliver:
             # Read back, so that what is sent is what was logged and nothing is classified twice.
-            deliver(notifications(route(batch.sparkSession.read.schema(rows.schema).json(path))))
+            deliver(notifications(route(batch.sparkSession.read.schema(rows.schema).json(path), routes)))
 
     return deduplicate(admit(events, watches)).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

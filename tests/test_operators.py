@@ -312,6 +312,9 @@ def test_configs(tmp_path):
         files.load_config(tmp_path / "c.yaml")
 
 
+ROUTES = [("housing", "P0", ["email", "github_issue"]), ("housing", "P3", ["log_only"]), ("news", "P3", ["log_only"])]
+
+
 def test_stream(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
@@ -320,7 +323,7 @@ def test_stream(spark, tmp_path):
     watch = spark.createDataFrame([("u", "news", 1), ("u", "housing", 2)], "url string, product string, seq long")
     sent = []
     for _ in range(2):  # a restart sends nothing twice
-        changes.start(changes.read_changes(spark, str(src)), watch, str(tmp_path / "out"), str(tmp_path / "ck"), lambda df: sent.extend(df.collect())).awaitTermination(120)
+        changes.start(changes.read_changes(spark, str(src)), watch, str(tmp_path / "out"), str(tmp_path / "ck"), lambda df: sent.extend(df.collect()), ROUTES).awaitTermination(120)
     log = spark.read.json(str(tmp_path / "out"))
     assert log.count() == 2
     assert {r.product for r in log.collect()} == {"housing"}
@@ -329,7 +332,7 @@ def test_stream(spark, tmp_path):
 
 def test_unknown_urgency_is_logged_only(spark):
     df = spark.createDataFrame([("housing", "P9", False), ("housing", "P0", False), ("news", "P3", True), ("zz", None, False)], "product string, urgency string, parse_error boolean")
-    got = {(r.product, r.urgency, r.channel) for r in changes.route(df).collect()}
+    got = {(r.product, r.urgency, r.channel) for r in changes.route(df, ROUTES).collect()}
     assert got == {("housing", "P9", "log_only"), ("housing", "P0", "email"), ("housing", "P0", "github_issue"), ("news", "P3", "log_only"), ("news", "P3", "email"), ("zz", "P3", "log_only")}
 
 
